@@ -3,6 +3,7 @@ written intermediate tables and the crc32 split of labelled rows."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,11 +27,8 @@ def bounded_batches(spark: SparkSession) -> None:
         ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
         ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
     ):
-        try:
-            now = int(spark.conf.get(key, "0"))
-        except ValueError:
-            now = 0
-        if now <= 0 or now > most:
+        now = re.match(r"\d+", spark.conf.get(key) or "")
+        if not now or not 0 < int(now[0]) <= most:
             spark.conf.set(key, str(most))
 
 

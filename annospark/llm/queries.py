@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annospark.llm import token_count
+from annospark.llm import line_dedup, token_count
 from annospark.llm.common import table
 
 
@@ -18,15 +18,40 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
+OP9_SQL = """
+WITH lines AS (
+    SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines),
+firsts AS (SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10 GROUP BY key),
+marked AS (
+    SELECT k.doc_id, k.pos, k.line, coalesce(k.doc_id = f.first_doc, true) AS stays
+    FROM keyed k LEFT JOIN firsts f ON k.key = f.key AND length(k.key) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), limit=4096)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op9_line_dedup": op9_line_dedup,
         "op10_token_counts": op10_token_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_line_dedup": OP9_SQL,
+    }
