@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from annospark.llm import line_dedup, token_count
-from annospark.llm.common import table
+from annospark.llm import decontaminate, language_id, line_dedup, packing, token_count, toxicity, url_filter
+from annospark.llm.common import remainder, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -18,6 +19,81 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.report(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), width=10))
+
+
+OP2_SQL = r"""
+WITH folded AS (
+    SELECT 'd' AS side, doc_id AS id, text FROM documents
+    UNION ALL SELECT 'b', item_id, text FROM benchmark),
+words AS (
+    SELECT side, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM folded),
+items AS (
+    SELECT id AS item_id, w, least(10, len(w)) AS n, unnest(range(len(w) - least(10, len(w)) + 1)) AS i
+    FROM words WHERE side = 'b' AND len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i + 1, i + n), ' ') AS win FROM items),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT id AS doc_id, w, n, unnest(range(len(w) - n + 1)) AS i
+    FROM words, lengths WHERE side = 'd' AND len(w) >= n),
+hits AS (
+    SELECT p.doc_id, p.i, p.n, x.item_id
+    FROM (SELECT doc_id, n, i, array_to_string(list_slice(w, i + 1, i + n), ' ') AS win FROM places) p
+    JOIN windows x ON p.n = x.n AND p.win = x.win),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS place FROM hits),
+n_hits AS (SELECT doc_id, count(*) AS n_hit FROM covered GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.id AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words d LEFT JOIN n_hits h ON d.id = h.doc_id LEFT JOIN found f ON d.id = f.doc_id WHERE d.side = 'd'
+"""
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = remainder(F.col("doc_id"), 3)
+    model = language_id.LanguageModel().fit(language_id.training_slices(docs.where(part != 1)))
+    out = language_id.identify(docs, model)
+    return out.select("doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+#: The standing rules of the URL filter.
+URL_RULES = [
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), window=2048, end_id=1)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = remainder(F.col("doc_id"), 4)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labelled = docs.where(part != 2).join(labels.where(part != 2), "doc_id")
+    model = toxicity.ToxicityModel().fit(toxicity.training_rows(labelled))
+    out = toxicity.score_toxicity(docs, model)
+    return out.select(
+        "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
 
@@ -46,6 +122,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontamination": op2_decontamination,
+        "op4_language_id": op4_language_id,
+        "op5_url_filter": op5_url_filter,
+        "op6_packing": op6_packing,
+        "op8_toxicity": op8_toxicity,
         "op9_line_dedup": op9_line_dedup,
         "op10_token_counts": op10_token_counts,
     }
@@ -53,5 +134,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_decontamination": OP2_SQL,
         "op9_line_dedup": OP9_SQL,
     }
