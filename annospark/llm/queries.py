@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import decontaminate, language_id, line_dedup, packing, token_count, toxicity, url_filter
+from annospark.llm import decontaminate, fingerprint, language_id, line_dedup, packing, token_count, toxicity, url_filter
 from annospark.llm.common import remainder, table
 
 
@@ -56,6 +56,10 @@ FROM words d LEFT JOIN n_hits h ON d.id = h.doc_id LEFT JOIN found f ON d.id = f
 """
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     part = remainder(F.col("doc_id"), 3)
@@ -123,6 +127,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": op2_decontamination,
+        "op3_fingerprints": op3_fingerprints,
         "op4_language_id": op4_language_id,
         "op5_url_filter": op5_url_filter,
         "op6_packing": op6_packing,

@@ -1,8 +1,9 @@
 """Toxicity by a convolutional network over hashed word embeddings.
 
-A word's embedding is the sum of two rows, of two tables by two hashes, so that
-a word which shares one row with a marked word is still told from it. Filters
-of several widths, max pooling and a sigmoid follow. Long texts are cut into
+A word's embedding is the sum of three rows, by the hashes of the word, its
+first and its last letters, so that inflected and compounded forms of a word
+are known by its stem, and a word which shares one row with a marked word is
+still told from it. Filters of several widths, max pooling and a sigmoid follow. Long texts are cut into
 overlapping windows of words whose filter responses are pooled. Scores are
 calibrated on documents kept out of the fitting, and each language gets the
 threshold that suits it best there.
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from zlib import adler32, crc32
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ from annospark.llm.common import bounded_batches
 TRAINING_DOCS = 12_000
 TRAINING_CHARS = 5_000
 #: Rows of each embedding table; words of a window.
-ROWS = 1 << 16
+BITS = 17
+ROWS = 1 << BITS
+AFFIX = 4
 WINDOW = 256
 WIDTHS, FILTERS, DIM = (1, 2, 3), 8, 8
 OVERLAP = max(WIDTHS) - 1
@@ -37,17 +40,23 @@ _WORD = re.compile(r"[^\W_]+")
 
 
 class WordRows(dict):
-    """Both table rows of a word, in one number; row 0 pads."""
+    """The table rows of a word, of its first and of its last four letters, in
+    one number; row 0 pads."""
 
     def __missing__(self, word: str) -> int:
-        raw = word.encode()
-        a, b = crc32(raw) % (ROWS - 1) + 1, crc32(raw[::-1], adler32(raw)) % (ROWS - 1) + 1
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = out = a << 16 | b
+        out = 0
+        for mark, part in ((1, word), (2, word[:AFFIX]), (3, word[-AFFIX:])):
+            out = out << BITS | crc32(part.encode(), mark) % (ROWS - 1) + 1
+        self[word] = out
         return out
 
 
+def _inputs(x: np.ndarray) -> list[np.ndarray]:
+    return [x >> 2 * BITS, x >> BITS & ROWS - 1, x & ROWS - 1]
+
+
 _rows = WordRows()
 
 
@@ -86,7 +95,7 @@ class ToxicityModel:
         fit_on = np.flatnonzero(~aside)
         if not len(fit_on) or y[fit_on].min() == y[fit_on].max():
             return self
-        self.net = ConvNet([ROWS, ROWS], DIM, WIDTHS, FILTERS, 1, self.seed)
+        self.net = ConvNet([ROWS] * 3, DIM, WIDTHS, FILTERS, 1, self.seed)
         rnd = np.random.default_rng(self.seed)
         one, none = fit_on[y[fit_on] == 1], fit_on[y[fit_on] == 0]
         # texts of like lengths together, half of them toxic
@@ -98,7 +107,10 @@ class ToxicityModel:
             x = np.zeros((len(pick), max(OVERLAP + 1, int(size[pick].max()))), np.int64)
             for i, k in enumerate(pick):
                 x[i, : size[k]] = texts[k]
-            return [x >> 16, x & 0xFFFF], y[pick][:, None], np.ones(len(pick), "f4")
+            rows = _inputs(x)
+            for r in rows:  # no part of a word may be relied on alone
+                r[rnd.random(x.shape) < 0.3] = 0
+            return rows, y[pick][:, None], np.ones(len(pick), "f4")
 
         self.net.train(draw, steps, rate=0.004, decay=1e-4)
         self._calibrate(self._raw([texts[i] for i in np.flatnonzero(aside)]), y[aside], [labelled[i][2] for i in np.flatnonzero(aside)])
@@ -110,7 +122,7 @@ class ToxicityModel:
         for at in range(0, len(x), 64):
             part = x[at : at + 64]
             part = part[:, : max(OVERLAP + 1, int((part != 0).sum(1).max()))]
-            np.maximum.at(out, owner[at : at + 64], self.net.pooled([part >> 16, part & 0xFFFF]))
+            np.maximum.at(out, owner[at : at + 64], self.net.pooled(_inputs(part)))
         return (out @ self.net.top + self.net.top_bias)[:, 0].astype(float)
 
     def _calibrate(self, raw: np.ndarray, y: np.ndarray, langs: list[str | None]) -> None:
