@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import decontaminate, fingerprint, language_id, line_dedup, packing, token_count, toxicity, url_filter
+from annospark.llm import decontaminate, fingerprint, language_id, line_dedup, ngram_join, packing, token_count, toxicity, url_filter
 from annospark.llm.common import remainder, table
 
 
@@ -19,6 +19,37 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.similar_sets(table(spark, sf_dir, "documents"), shingle=4, num=85, den=100)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
+OP1_SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i + 1, i + 4), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(greatest(1, len(w) - 3))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared o JOIN sizes a ON o.x = a.doc_id JOIN sizes b ON o.y = b.doc_id
+    WHERE 100 * both >= 85 * (a.n + b.n - both)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+    WITH RECURSIVE r(a, b) AS (
+        SELECT x, y FROM edges UNION SELECT r.a, e.y FROM r JOIN edges e ON r.b = e.x)
+    SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.least, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN reach r ON d.doc_id = r.a
+"""
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), width=10))
@@ -126,6 +157,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_decontamination": op2_decontamination,
         "op3_fingerprints": op3_fingerprints,
         "op4_language_id": op4_language_id,
@@ -139,6 +171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_ngram_join": OP1_SQL,
         "op2_decontamination": OP2_SQL,
         "op9_line_dedup": OP9_SQL,
     }
