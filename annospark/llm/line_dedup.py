@@ -189,6 +189,31 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", te
     return kept_text(docs, bitmaps, doc_id, text)
 
 
+def drop_copied_lines(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the same columns and the kept texts. Documents that held
+    some text and keep none go; null texts stay null. Texts are shuffled
+    once."""
+    bitmaps, _ = written(keep_bitmaps(docs, min_chars, doc_id, text).where("n_dropped > 0 and doc_id is not null"), "bitmaps")
+
+    @F.arrow_udf("string")
+    def kept(texts: pa.Array, maps: pa.Array) -> pa.Array:
+        out = []
+        for body, bitmap in zip(texts.to_pylist(), maps.to_pylist()):
+            if body is not None and bitmap is not None:
+                lines = body.split("\n")
+                body = "\n".join(x for x, k in zip(lines, keep_lines(bitmap, len(lines))) if k)
+            out.append(body)
+        return pa.array(out, pa.string())
+
+    named = docs.select(
+        F.struct("*").alias("doc"), F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row")
+    )
+    both = named.join(bitmaps.select("doc_id", "row", "bitmap"), ["doc_id", "row"], "left")
+    both = both.select("doc", "bitmap", kept(F.col("doc")[text], F.col("bitmap")).alias("kept"))
+    both = both.where(F.col("bitmap").isNull() | (F.btrim("kept", F.lit(BLANK)) != ""))
+    return both.select(F.col("doc").withField(text, F.col("kept")).alias("doc")).select("doc.*")
+
+
 def digests(kept: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256."""
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import decontaminate, fingerprint, language_id, line_dedup, ngram_join, packing, token_count, toxicity, url_filter
+from annospark.llm import decontaminate, fingerprint, language_id, line_dedup, ngram_join, packing, quality, token_count, toxicity, url_filter
 from annospark.llm.common import remainder, table
 
 
@@ -117,6 +117,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), window=2048, end_id=1)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select("row.doc_id", "score", "content", "metadata", "keep")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     part = remainder(F.col("doc_id"), 4)
@@ -155,6 +161,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), limit=4096)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -163,9 +175,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": op4_language_id,
         "op5_url_filter": op5_url_filter,
         "op6_packing": op6_packing,
+        "op7_quality": op7_quality,
         "op8_toxicity": op8_toxicity,
         "op9_line_dedup": op9_line_dedup,
         "op10_token_counts": op10_token_counts,
+        "pipeline": pipeline,
     }
 
 
