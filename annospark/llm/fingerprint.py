@@ -120,7 +120,9 @@ def edited_likeness(docs: DataFrame, k: int = K, doc_id: str = "doc_id", text: s
     id has no next document: nothing replaces its last quarter, and near_next
     is null. One document alone is its own next. Other columns are not read.
     """
-    every = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # no alias where the name is right: the two uses of the exchange must be equal
+    own = F.col(doc_id) if doc_id == "doc_id" else F.col(doc_id).alias("doc_id")
+    every = docs.select(own, F.coalesce(F.col(text), F.lit("")).alias("text"))
     given = every.where("doc_id is not null")  # the same exchange of texts serves both joins
     order, _ = written(predecessors(given.select("doc_id", F.length("text").alias("n_chars"))), "order")
     repeated = not given.select("doc_id").groupBy("doc_id").count().where("count > 1").isEmpty()
