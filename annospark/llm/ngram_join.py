@@ -18,12 +18,13 @@ different components. No link that could change a component is left out.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm.common import bounded_batches, dropped, parts, written
@@ -37,37 +38,104 @@ FREQUENT, FREQUENT_KEPT = 48, 1_000_000
 SIEVE_BITS = 1 << 26
 #: Turns against leaders while lists hold too many pairs; then all pairs.
 LEADER_TURNS, PAIRS_A_ROW = 5, 8
-REMEMBERED = 600_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = out = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return out
-
-
-_hashes = _WordHashes()
+_NEXT_BLANK = re.compile(rb"[\t-\r ]")
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes of text that are hashed together.
+GROUP_BYTES = 1 << 18
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, at least n of each."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, GROUP_BYTES) * 5 // 4
+        _powers.clear()
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            table = np.full(size + 1, base, np.uint64)
+            table[0] = 1
+            _powers.append(np.multiply.accumulate(table))
+    return _powers
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts and its 64-bit hash, for bytes that end blank:
+    differences of one running sum of powers, so a word costs nothing by
+    itself."""
+    up, down = _power_tables(len(data) + 1)
+    blank = _BLANK[data]
+    edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1))
+    starts, ends = edge[::2], edge[1::2]
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * up[: len(data)], out=total[1:])
+    words = (total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+    words ^= words >> np.uint64(32)
+    words *= _MIX
+    return starts, words ^ words >> np.uint64(29)
+
+
+def shingle_sets(texts: list[str | None], shingle: int) -> list[np.ndarray]:
+    """For each text the ascending distinct 64-bit hashes of its shingles:
+    ``shingle`` words (separated by ASCII white space, A-Z lower-cased), or a
+    shorter text's words as one; empty without words."""
+    out: list[np.ndarray] = []
+    group: list[bytes] = []
+    size = 0
+    for text in texts:
+        raw = text.encode().lower() if text else b""  # bytes.lower() changes A-Z alone
+        if len(raw) > 4 * GROUP_BYTES:
+            out += _group_sets(group, shingle)
+            out.append(_long_set(raw, shingle))
+            group, size = [], 0
+            continue
+        group.append(raw)
+        size += len(group[-1]) + 1
+        if size >= GROUP_BYTES:
+            out += _group_sets(group, shingle)
+            group, size = [], 0
+    return out + _group_sets(group, shingle)
+
+
+def _group_sets(raw: list[bytes], shingle: int) -> list[np.ndarray]:
+    if not raw:
+        return []
+    starts, words = _word_hashes(np.frombuffer(b" ".join(raw) + b" ", np.uint8))
+    past = np.cumsum([len(r) + 1 for r in raw])
+    bounds = np.concatenate(([0], np.searchsorted(starts, past)))
+    rolled = _rolled(words, shingle)
+    out = []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        n = hi - lo
+        out.append(np.unique(rolled[lo : hi - shingle + 1] if n >= shingle else _rolled(words[lo:hi], n)) if n else np.zeros(0, np.uint64))
+    return out
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """Ascending distinct 64-bit hashes of a text's shingles: ``shingle`` words
-    (separated by ASCII white space, A-Z lower-cased), or a shorter text's
-    words as one; empty without words."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    ids = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    k = min(shingle, len(words))
-    out = np.full(len(words) - k + 1, k, np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(k):
-            out = (out ^ ids[j : len(ids) - k + 1 + j]) * _MIX
-            out ^= out >> np.uint64(29)
-    return np.unique(out)
+def _long_set(raw: bytes, shingle: int) -> np.ndarray:
+    """The set of a long text, its words hashed piece by piece."""
+    words, at = [], 0
+    while at < len(raw):
+        blank = _NEXT_BLANK.search(raw, at + GROUP_BYTES)
+        end = blank.start() if blank else len(raw)
+        words.append(_word_hashes(np.frombuffer(raw[at:end] + b" ", np.uint8))[1])
+        at = end
+    every = np.concatenate(words)
+    return np.unique(_rolled(every, min(shingle, len(every)))) if len(every) else every
+
+
+def _rolled(words: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each run of k words."""
+    n = max(0, len(words) - k + 1)
+    out = np.full(n, k, np.uint64)
+    for j in range(k):
+        out = (out ^ words[j : j + n]) * _MIX
+        out ^= out >> np.uint64(29)
+    return out
 
 
 def _signature(hashes: np.ndarray) -> int:
@@ -79,44 +147,42 @@ def _prefix_length(n: int, num: int, den: int) -> int:
     return n + num * n // -den + 1  # n - ceil(num n / den) + 1
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text")
+def _prefixes(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """The columns of every document's prefix in hash order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(0).to_pylist(), shingle)
+            first = [s[: _prefix_length(len(s), num, den)] for s in sets if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64))], ["token"])
+
+    return docs.select("text").mapInArrow(run, "token bigint")
 
 
-def _rows(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """doc_id, n, sig and the prefix in hash order of every document."""
+def _known(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, n and sig of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in batch.column(1)]
-            first = [s[: _prefix_length(len(s), num, den) if len(s) else 0] for s in sets]
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in first]))), pa.int32())
-            flat = np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(_signature, sets), pa.int64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                ],
-                ["doc_id", "n", "sig", "prefix"],
-            )
+            sets = shingle_sets(batch.column(1).to_pylist(), shingle)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(_signature, sets), pa.int64())], ["doc_id", "n", "sig"])
 
-    return _texts(docs).mapInArrow(run, "doc_id bigint, n bigint, sig bigint, prefix array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, sig bigint")
 
 
-_ENTRY = pa.schema([("token", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("pos", pa.int32())])
-_ENTRY_DDL = "token bigint, n bigint, sig bigint, pos int"
+_ENTRY = pa.schema([("token", pa.int64()), ("n", pa.int32()), ("sig", pa.int64())])
+_ENTRY_DDL = "token bigint, n int, sig bigint"
 
 
 def _entries(docs: DataFrame, frequent: np.ndarray, shingle: int, num: int, den: int) -> DataFrame:
-    """The matrix's prefix block: (token, n, sig, pos), frequent columns last."""
+    """The matrix's prefix block: (token, n, sig), frequent columns last."""
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = shared.value
         for batch in batches:
-            tokens, n, sig, pos = [], [], [], []
-            for text in batch.column(0):
-                s = shingle_set(text.as_py(), shingle)
+            tokens, n, sig = [], [], []
+            for s in shingle_sets(batch.column(0).to_pylist(), shingle):
                 if not len(s):
                     continue
                 p, order = _prefix_length(len(s), num, den), s
@@ -126,11 +192,10 @@ def _entries(docs: DataFrame, frequent: np.ndarray, shingle: int, num: int, den:
                     if late.any():
                         order = np.concatenate((s[~late], s[late]))
                 tokens.append(order[:p])
-                n.append(np.full(p, len(s), np.int64))
+                n.append(np.full(p, len(s), np.int32))
                 sig.append(np.full(p, _signature(s), np.int64))
-                pos.append(np.arange(p, dtype=np.int32))
             if tokens:
-                columns = [np.concatenate(tokens).view(np.int64), *map(np.concatenate, (n, sig, pos))]
+                columns = [np.concatenate(tokens).view(np.int64), *map(np.concatenate, (n, sig))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ENTRY)
 
     return docs.select("text").mapInArrow(run, _ENTRY_DDL)
@@ -141,7 +206,7 @@ def _shared_columns(num: int, den: int):
     one row has, each with the leader of its stretch (the last row that was too
     small for the leader before it). The first and last column of a partition
     may go on in another and always stay."""
-    schema = pa.schema([*_ENTRY, ("lead", pa.int64())])
+    schema = pa.schema([*_ENTRY, ("lead", pa.int64()), ("lead_n", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = last = None  # token; (token, n, sig)
@@ -170,7 +235,7 @@ def _shared_columns(num: int, den: int):
                 if held:
                     yield held.pop()
             held.clear()
-            leads = np.empty(len(token), np.int64)
+            leads, sizes = np.empty(len(token), np.int64), np.array(n, np.int32)
             start = np.flatnonzero(new)
             alone = np.zeros(len(token), bool)
             ends = np.append(start[1:], len(token))
@@ -180,11 +245,11 @@ def _shared_columns(num: int, den: int):
             for i in multi.tolist():
                 if new[i] or den * lead[0] < num * n[i]:
                     lead = (int(n[i]), int(sig[i]))
-                leads[i] = lead[1]
+                sizes[i], leads[i] = lead
             if alone[-1]:
                 lead = (int(n[-1]), int(sig[-1]))
             last = (token[-1], n[-1], sig[-1])
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(leads)], schema=schema)
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(leads), pa.array(sizes)], schema=schema)
             stays = ~alone | (token == first)
             open_end = alone[-1] and not stays[-1]
             if open_end:
@@ -194,7 +259,7 @@ def _shared_columns(num: int, den: int):
         if held:
             yield held.pop()
 
-    return run, _ENTRY_DDL + ", lead bigint"
+    return run, _ENTRY_DDL + ", lead bigint, lead_n int"
 
 
 def _sieve(sigs: DataFrame) -> np.ndarray:
@@ -209,27 +274,47 @@ def _sieve(sigs: DataFrame) -> np.ndarray:
     return out
 
 
-def _whole_rows(docs: DataFrame, sigs: DataFrame, shingle: int) -> DataFrame:
-    """sig, n and the whole set of every signature in ``sigs``."""
+def _needed(n: str, m: str, num: int, den: int) -> Column:
+    """How many columns of the block two rows of these sizes must share at
+    least. All shared columns up to the smaller of the two blocks' ends lie in
+    both blocks, and behind a block's end a row has ceil(t n) - 1 columns."""
+    up = lambda a, b: F.floor((a + (b - 1)) / b)
+    whole = up(num * (F.col(n) + F.col(m)).cast("bigint"), F.lit(num + den))
+    behind = up(num * F.greatest(n, m).cast("bigint"), F.lit(den)) - 1
+    return F.greatest(whole - behind, F.lit(1))
+
+
+def _likeliest(led: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b: each row with the leader that it shares most columns with, if these
+    are half of those needed or more. ``led``: sig, n, lead, lead_n, a row for
+    each column."""
+    shared = led.groupBy("sig", "n", "lead", "lead_n").agg(F.count("*").alias("shared"))
+    near = shared.where(2 * F.col("shared") >= _needed("n", "lead_n", num, den))
+    best = near.groupBy("sig").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead"))
+    return best.select(F.least("sig", "lead").alias("a"), F.greatest("sig", "lead").alias("b")).distinct()
+
+
+def _whole_rows(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """sig and the whole set of every signature in ``pairs``, written: the
+    texts are read again, and all but the wanted rows stay where they are."""
+    sigs = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
     shared = docs.sparkSession.sparkContext.broadcast(_sieve(sigs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = shared.value
         bits = len(sieve) * 64
         for batch in batches:
-            sig, n, hashes = [], [], []
-            for text in batch.column(0):
-                s = shingle_set(text.as_py(), shingle)
+            sig, hashes = [], []
+            for s in shingle_sets(batch.column(0).to_pylist(), shingle):
                 own = _signature(s)
                 place = own % bits
                 if len(s) and int(sieve[place >> 6]) >> (place & 63) & 1:
                     sig.append(own)
-                    n.append(len(s))
                     hashes.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(n, pa.int64()), pa.array(hashes, pa.binary())], ["sig", "n", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(hashes, pa.binary())], ["sig", "hashes"])
 
-    found = docs.select("text").mapInArrow(run, "sig bigint, n bigint, hashes binary")
-    return found.groupBy("sig").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")).join(sigs, "sig", "left_semi")
+    found = docs.select("text").mapInArrow(run, "sig bigint, hashes binary")
+    return written(found.groupBy("sig").agg(F.first("hashes").alias("hashes")), "whole-rows")[0]
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -270,60 +355,54 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows, rows_at = written(_rows(docs, shingle, num, den), "rows")
-    known, _ = written(rows.select("doc_id", "n", "sig"), "documents")
-
-    counts = rows.select(F.explode("prefix").alias("token")).groupBy("token").count().where(F.col("count") > FREQUENT)
+    known, _ = written(_known(docs, shingle), "documents")
+    counts = _prefixes(docs, shingle, num, den).groupBy("token").count().where(F.col("count") > FREQUENT)
     counts, counts_at = written(counts, "frequent")
     if counts.count() > FREQUENT_KEPT:
         counts = counts.orderBy(F.desc("count"), "token").limit(FREQUENT_KEPT)
     frequent = counts.select("token").toArrow().column("token").to_numpy().view(np.uint64)
-    dropped(spark, rows_at, counts_at)
+    dropped(spark, counts_at)
 
-    entries, entries_at = written(_entries(docs, frequent, shingle, num, den), "entries")
     run, kind = _shared_columns(num, den)
-    dealt = entries.repartitionByRange(parts(spark), "token", "n", "sig").sortWithinPartitions("token", "n", "sig")
+    dealt = _entries(docs, frequent, shingle, num, den).repartitionByRange(parts(spark), "token", "n", "sig").sortWithinPartitions("token", "n", "sig")
     columns, _ = written(dealt.mapInArrow(run, kind), "columns")
-    dropped(spark, entries_at)
-    whole, _ = written(_whole_rows(docs, columns.select("sig").distinct(), shingle), "whole-rows")
 
-    pairs = columns.where("sig <> lead").select(F.least("sig", "lead").alias("a"), F.greatest("sig", "lead").alias("b")).distinct()
-    tried, _ = written(pairs, "pairs")
-    links, _ = written(_linked(tried, whole, num, den), "links")
+    led = columns.where("sig <> lead").select("sig", "n", "lead", "lead_n")
+    pairs = _likeliest(led, num, den)
+    links = None
     for turn in range(LEADER_TURNS + 1):
+        pairs, _ = written(pairs, "pairs")
+        more, _ = written(_linked(pairs, _whole_rows(docs, pairs, shingle), num, den), "links")
+        links = more if links is None else links.unionByName(more)
         labels = components(links)
-        of_row = columns.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-        of_row, _ = written(of_row.select("token", "n", "sig", "pos", "comp"), "labelled-columns")
-        mixed = of_row.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows")).where("low < high")
+        of_row = columns.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("token", "n", "sig", F.coalesce("comp", "sig").alias("comp"))
+        of_row, of_row_at = written(of_row, "labelled-columns")
+        mixed = of_row.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").cast("double").alias("rows")).where("low < high")
         mixed, _ = written(mixed, "mixed")
-        size = mixed.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("rows").cast("double") * F.col("rows")), F.lit(0)).alias("pairs")).first()
+        size = mixed.agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("rows")).alias("pairs")).first()
         if not size.rows:
             break
-        final = turn == LEADER_TURNS or size.pairs <= 2 * PAIRS_A_ROW * size.rows
         left = of_row.join(mixed.select("token", "low", "high"), "token")
-        if final:
-            x, y = (left.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("n", "sig", "pos", "comp"))) for k in "xy")
-            # the intersection needs num / (num + den) of both sizes; behind a
-            # pair's first common column no more follows than the shorter rest
-            need = F.lit(num) * (F.col("n_x") + F.col("n_y"))
-            rest = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+        if turn == LEADER_TURNS or size.pairs <= 2 * PAIRS_A_ROW * size.rows:
+            # the last turn: all pairs of different components, with all the
+            # columns that they share in the block
+            x, y = (left.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("n", "sig", "comp"))) for k in "xy")
             made = x.join(y, "token").where(
-                (F.col("sig_x") < F.col("sig_y")) & (F.col("comp_x") != F.col("comp_y"))
-                & (den * F.least("n_x", "n_y") >= num * F.greatest("n_x", "n_y")) & ((num + den) * rest >= need)
-            ).select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"))
-        else:
-            # another leader in each list: the first row of its lowest or highest component
-            side = F.col("low") if turn % 2 == 0 else F.col("high")
-            leader = left.where(F.col("comp") == side).groupBy("token").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("by"), "sig", "n")).alias("lead"))
-            made = left.join(leader, "token").where((F.col("comp") != side) & (den * F.least("n", "lead.n") >= num * F.greatest("n", "lead.n")))
-            made = made.select(F.least("sig", "lead.sig").alias("a"), F.greatest("sig", "lead.sig").alias("b"))
-        fresh, _ = written(made.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        more, _ = written(_linked(fresh, whole, num, den), "links")
-        links = links.unionByName(more)
-        if final:
+                (F.col("sig_x") < F.col("sig_y")) & (F.col("comp_x") != F.col("comp_y")) & (den * F.least("n_x", "n_y") >= num * F.greatest("n_x", "n_y"))
+            )
+            shared = made.groupBy("sig_x", "sig_y", "n_x", "n_y").agg(F.count("*").alias("shared"))
+            pairs = shared.where(F.col("shared") >= _needed("n_x", "n_y", num, den)).select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"))
+            more, _ = written(pairs, "pairs")
+            if more.isEmpty():
+                break
+            links = links.unionByName(written(_linked(more, _whole_rows(docs, more, shingle), num, den), "links")[0])
             labels = components(links)
             break
-        tried = tried.unionByName(fresh)
+        # another leader in each list, from its lowest or its highest component
+        side = F.col("low") if turn % 2 == 0 else F.col("high")
+        leader = left.where(F.col("comp") == side).groupBy("token").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("by"), "sig", "n")).alias("lead"))
+        made = left.join(leader, "token").where((F.col("comp") != side) & (den * F.least("n", "lead.n") >= num * F.greatest("n", "lead.n")))
+        pairs = _likeliest(made.select("sig", "n", F.col("lead.sig").alias("lead"), F.col("lead.n").alias("lead_n")), num, den)
 
     of_set = known.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     of_set = of_set.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))

@@ -35,11 +35,11 @@ shingles AS (
     FROM (SELECT doc_id, w, unnest(range(greatest(1, len(w) - 3))) AS i FROM words WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
     FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (
     SELECT x, y FROM shared o JOIN sizes a ON o.x = a.doc_id JOIN sizes b ON o.y = b.doc_id
-    WHERE 100 * both >= 85 * (a.n + b.n - both)),
+    WHERE 100 * n_both >= 85 * (a.n + b.n - n_both)),
 edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (
     WITH RECURSIVE r(a, b) AS (
