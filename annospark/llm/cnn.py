@@ -11,6 +11,10 @@ from __future__ import annotations
 import numpy as np
 
 
+#: Slope below 0, so that no filter can die.
+LEAK = np.float32(0.1)
+
+
 class Adam:
     """Adam for a list of arrays, changed in place."""
 
@@ -61,10 +65,11 @@ class ConvNet:
         return np.ascontiguousarray(view)
 
     def pooled(self, inputs: list[np.ndarray]) -> np.ndarray:
-        """Each filter's largest response (not below 0), before the top."""
+        """Each filter's largest response (a tenth of it below 0)."""
         p = self._patches(inputs)
         out = (p.reshape(-1, p.shape[2]) @ self.kernel).reshape(*p.shape[:2], -1)
-        return np.maximum(out.max(1) + self.bias, 0)
+        z = out.max(1) + self.bias
+        return np.maximum(z, LEAK * z)
 
     def logits(self, inputs: list[np.ndarray]) -> np.ndarray:
         return self.pooled(inputs) @ self.top + self.top_bias
@@ -81,7 +86,7 @@ class ConvNet:
             out = (p.reshape(-1, width) @ self.kernel).reshape(n, length, -1)
             at = out.argmax(1)
             z = np.take_along_axis(out, at[:, None], 1)[:, 0] + self.bias
-            a = np.maximum(z, 0)
+            a = np.maximum(z, LEAK * z)
             logit = a @ self.top + self.top_bias
             if self.classes == 1:
                 prob = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -89,7 +94,7 @@ class ConvNet:
                 prob = np.exp(logit - logit.max(1, keepdims=True))
                 prob /= prob.sum(1, keepdims=True)
             d = ((prob - target) * weight[:, None] / weight.sum()).astype("f4")
-            dz = (d @ self.top.T) * (z > 0)
+            dz = (d @ self.top.T) * np.where(z > 0, np.float32(1), LEAK)
             best = p[np.arange(n)[:, None], at]  # [texts, filters, window x dim]
             d_kernel = np.einsum("nf,nfk->kf", dz, best) * self.mask + decay * self.kernel
             d_patch = dz[:, :, None] * self.kernel.T[None]

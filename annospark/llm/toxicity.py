@@ -11,6 +11,7 @@ threshold that suits it best there.
 
 from __future__ import annotations
 
+import copy
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -85,8 +86,9 @@ class ToxicityModel:
         self.thresholds: dict[str, float] = {}
         self.seed = seed
 
-    def fit(self, labelled: list[tuple[str, int, str | None]], epochs: int = 8, batch: int = 64) -> ToxicityModel:
-        """On (text, 1 for toxic, language); a fifth calibrates."""
+    def fit(self, labelled: list[tuple[str, int, str | None]], rounds: int = 14, steps: int = 120, batch: int = 64) -> ToxicityModel:
+        """On (text, 1 for toxic, language). A fifth says after each round how
+        good the network is, so that the best one is kept, and calibrates it."""
         labelled = sorted(labelled, key=lambda r: (crc32(r[0].encode()), r[0], r[1]))
         texts = [word_rows(t) for t, _, _ in labelled]
         y = np.array([v for _, v, _ in labelled], "f4")
@@ -100,7 +102,6 @@ class ToxicityModel:
         one, none = fit_on[y[fit_on] == 1], fit_on[y[fit_on] == 0]
         # texts of like lengths together, half of them toxic
         size = np.array([len(t) for t in texts])
-        steps = max(150, epochs * len(fit_on) // batch)
 
         def draw(_: int):
             pick = np.concatenate([rnd.choice(one, batch // 2), rnd.choice(none, batch // 2)])
@@ -109,11 +110,22 @@ class ToxicityModel:
                 x[i, : size[k]] = texts[k]
             rows = _inputs(x)
             for r in rows:  # no part of a word may be relied on alone
-                r[rnd.random(x.shape) < 0.3] = 0
+                r[rnd.random(x.shape) < 0.5] = 0
             return rows, y[pick][:, None], np.ones(len(pick), "f4")
 
-        self.net.train(draw, steps, rate=0.004, decay=1e-4)
-        self._calibrate(self._raw([texts[i] for i in np.flatnonzero(aside)]), y[aside], [labelled[i][2] for i in np.flatnonzero(aside)])
+        held, wanted = [texts[i] for i in np.flatnonzero(aside)], y[aside]
+        least, best, worse = np.inf, None, 0
+        for _ in range(rounds):
+            self.net.train(draw, steps, rate=0.004, decay=1e-4)
+            raw = self._raw(held)
+            # both classes weigh the same, as in the draws
+            loss = sum(np.logaddexp(0, sign * raw[wanted == v]).mean() for v, sign in ((1, -1), (0, 1)) if (wanted == v).any())
+            if loss < least:
+                least, best, worse = loss, copy.deepcopy(self.net), 0
+            elif (worse := worse + 1) == 3:
+                break
+        self.net = best
+        self._calibrate(self._raw(held), wanted, [labelled[i][2] for i in np.flatnonzero(aside)])
         return self
 
     def _raw(self, texts: list[np.ndarray]) -> np.ndarray:
