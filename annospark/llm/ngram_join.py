@@ -33,11 +33,13 @@ from annospark.llm.graph import components
 #: Columns in more than so many prefixes come last in the order, the most
 #: frequent FREQUENT_KEPT of them (8 bytes each are broadcast). Any such set
 #: gives the same result.
-FREQUENT, FREQUENT_KEPT = 48, 1_000_000
+FREQUENT, FREQUENT_KEPT = 12, 1_000_000
 #: Bits of the sieve for the rows that are in pairs, at most (8 MB).
 SIEVE_BITS = 1 << 26
-#: Turns against leaders while lists hold too many pairs; then all pairs.
-LEADER_TURNS, PAIRS_A_ROW = 5, 8
+#: Lists of more rows than LONG_LIST are turned against leaders while they hold
+#: more than PAIRS_A_ROW pairs for each row of all lists, LEADER_TURNS times at
+#: most; then all pairs of different components are made.
+LONG_LIST, LEADER_TURNS, PAIRS_A_ROW = 256, 4, 4
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -379,11 +381,12 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
         of_row, of_row_at = written(of_row, "labelled-columns")
         mixed = of_row.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").cast("double").alias("rows")).where("low < high")
         mixed, _ = written(mixed, "mixed")
-        size = mixed.agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("rows")).alias("pairs")).first()
+        long = F.when(F.col("rows") > LONG_LIST, F.col("rows") * F.col("rows")).otherwise(0.0)
+        size = mixed.agg(F.sum("rows").alias("rows"), F.sum(long).alias("pairs")).first()
         if not size.rows:
             break
-        left = of_row.join(mixed.select("token", "low", "high"), "token")
         if turn == LEADER_TURNS or size.pairs <= 2 * PAIRS_A_ROW * size.rows:
+            left, _ = written(of_row.join(mixed.select("token"), "token", "left_semi"), "mixed-columns")
             # the last turn: all pairs of different components, with all the
             # columns that they share in the block
             x, y = (left.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("n", "sig", "comp"))) for k in "xy")
@@ -398,7 +401,8 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
             links = links.unionByName(written(_linked(more, _whole_rows(docs, more, shingle), num, den), "links")[0])
             labels = components(links)
             break
-        # another leader in each list, from its lowest or its highest component
+        # another leader in each long list, from its lowest or highest component
+        left = of_row.join(mixed.where(F.col("rows") > LONG_LIST).select("token", "low", "high"), "token")
         side = F.col("low") if turn % 2 == 0 else F.col("high")
         leader = left.where(F.col("comp") == side).groupBy("token").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("by"), "sig", "n")).alias("lead"))
         made = left.join(leader, "token").where((F.col("comp") != side) & (den * F.least("n", "lead.n") >= num * F.greatest("n", "lead.n")))
