@@ -40,6 +40,8 @@ SIEVE_BITS = 1 << 26
 #: more than PAIRS_A_ROW pairs for each row of all lists, LEADER_TURNS times at
 #: most; then all pairs of different components are made.
 LONG_LIST, LEADER_TURNS, PAIRS_A_ROW = 256, 4, 4
+#: A turn that links fewer than one in so many of its pairs is the last one.
+WORTHWHILE = 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -296,7 +298,7 @@ def _likeliest(led: DataFrame, num: int, den: int) -> DataFrame:
     return best.select(F.least("sig", "lead").alias("a"), F.greatest("sig", "lead").alias("b")).distinct()
 
 
-def _whole_rows(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+def _whole_rows(docs: DataFrame, pairs: DataFrame, shingle: int) -> tuple[DataFrame, str]:
     """sig and the whole set of every signature in ``pairs``, written: the
     texts are read again, and all but the wanted rows stay where they are."""
     sigs = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
@@ -316,7 +318,7 @@ def _whole_rows(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(hashes, pa.binary())], ["sig", "hashes"])
 
     found = docs.select("text").mapInArrow(run, "sig bigint, hashes binary")
-    return written(found.groupBy("sig").agg(F.first("hashes").alias("hashes")), "whole-rows")[0]
+    return written(found.groupBy("sig").agg(F.first("hashes").alias("hashes")), "whole-rows")
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -370,11 +372,12 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
     columns, _ = written(dealt.mapInArrow(run, kind), "columns")
 
     led = columns.where("sig <> lead").select("sig", "n", "lead", "lead_n")
-    pairs = _likeliest(led, num, den)
+    pairs, _ = written(_likeliest(led, num, den), "pairs")
     links = None
     for turn in range(LEADER_TURNS + 1):
-        pairs, _ = written(pairs, "pairs")
-        more, _ = written(_linked(pairs, _whole_rows(docs, pairs, shingle), num, den), "links")
+        whole, whole_at = _whole_rows(docs, pairs, shingle)
+        more, _ = written(_linked(pairs, whole, num, den), "links")
+        dropped(spark, whole_at)
         links = more if links is None else links.unionByName(more)
         labels = components(links)
         of_row = columns.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("token", "n", "sig", F.coalesce("comp", "sig").alias("comp"))
@@ -385,8 +388,9 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
         size = mixed.agg(F.sum("rows").alias("rows"), F.sum(long).alias("pairs")).first()
         if not size.rows:
             break
-        if turn == LEADER_TURNS or size.pairs <= 2 * PAIRS_A_ROW * size.rows:
-            left, _ = written(of_row.join(mixed.select("token"), "token", "left_semi"), "mixed-columns")
+        dull = turn > 0 and more.count() * WORTHWHILE < pairs.count()
+        if turn == LEADER_TURNS or dull or size.pairs <= 2 * PAIRS_A_ROW * size.rows:
+            left, left_at = written(of_row.join(mixed.select("token"), "token", "left_semi"), "mixed-columns")
             # the last turn: all pairs of different components, with all the
             # columns that they share in the block
             x, y = (left.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("n", "sig", "comp"))) for k in "xy")
@@ -396,9 +400,10 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
             shared = made.groupBy("sig_x", "sig_y", "n_x", "n_y").agg(F.count("*").alias("shared"))
             pairs = shared.where(F.col("shared") >= _needed("n_x", "n_y", num, den)).select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"))
             more, _ = written(pairs, "pairs")
+            dropped(spark, left_at, of_row_at)
             if more.isEmpty():
                 break
-            links = links.unionByName(written(_linked(more, _whole_rows(docs, more, shingle), num, den), "links")[0])
+            links = links.unionByName(written(_linked(more, _whole_rows(docs, more, shingle)[0], num, den), "links")[0])
             labels = components(links)
             break
         # another leader in each long list, from its lowest or highest component
@@ -407,6 +412,8 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
         leader = left.where(F.col("comp") == side).groupBy("token").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("by"), "sig", "n")).alias("lead"))
         made = left.join(leader, "token").where((F.col("comp") != side) & (den * F.least("n", "lead.n") >= num * F.greatest("n", "lead.n")))
         pairs = _likeliest(made.select("sig", "n", F.col("lead.sig").alias("lead"), F.col("lead.n").alias("lead_n")), num, den)
+        pairs, _ = written(pairs, "pairs")
+        dropped(spark, of_row_at)
 
     of_set = known.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     of_set = of_set.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
