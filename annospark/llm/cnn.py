@@ -13,6 +13,8 @@ import numpy as np
 
 #: Slope below 0, so that no filter can die.
 LEAK = np.float32(0.1)
+#: Rows of symbols whose patches are held at once in training.
+BLOCK = 128
 
 
 class Adam:
@@ -71,21 +73,40 @@ class ConvNet:
         z = out.max(1) + self.bias
         return np.maximum(z, LEAK * z)
 
+    def _largest(self, inputs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each filter's largest response in each row (without bias), its place,
+        and the patch there [rows, filters, window x dim], block by block."""
+        parts = []
+        for lo in range(0, len(inputs[0]), BLOCK):
+            p = self._patches([x[lo : lo + BLOCK] for x in inputs])
+            n, length, width = p.shape
+            out = (p.reshape(-1, width) @ self.kernel).reshape(n, length, -1)
+            at = out.argmax(1)
+            parts.append((np.take_along_axis(out, at[:, None], 1)[:, 0], at, p[np.arange(n)[:, None], at]))
+        return tuple(np.concatenate(c) for c in zip(*parts))
+
     def logits(self, inputs: list[np.ndarray]) -> np.ndarray:
         return self.pooled(inputs) @ self.top + self.top_bias
 
     def train(self, draw, steps: int, rate: float = 0.003, decay: float = 1e-5) -> ConvNet:
         """``draw(step)``: (padded symbol arrays, target distribution
-        [texts, classes], weights [texts]). A net of one class is a sigmoid."""
+        [texts, classes], weights [texts]) and, where a text has several rows
+        of symbols, the first row of each text; a filter then takes the largest
+        response of all rows. A net of one class is a sigmoid."""
         adam = Adam([self.kernel, self.bias, self.top, self.top_bias], rate)
         moments = [(np.zeros_like(t), np.zeros_like(t)) for t in self.tables]
         for step in range(steps):
-            inputs, target, weight = draw(step)
-            p = self._patches(inputs)
-            n, length, width = p.shape
-            out = (p.reshape(-1, width) @ self.kernel).reshape(n, length, -1)
-            at = out.argmax(1)
-            z = np.take_along_axis(out, at[:, None], 1)[:, 0] + self.bias
+            inputs, target, weight, *starts = draw(step)
+            most, at, best = self._largest(inputs)
+            n = len(target)
+            row = np.broadcast_to(np.arange(len(most))[:, None], most.shape)
+            if starts:
+                top = np.maximum.reduceat(most, starts[0])
+                owner = np.repeat(np.arange(n), np.diff(np.append(starts[0], len(most))))
+                row = np.minimum.reduceat(np.where(most == top[owner], row, len(most)), starts[0])
+                filters = np.arange(top.shape[1])
+                most, at, best = top, at[row, filters], best[row, filters]
+            z = most + self.bias
             a = np.maximum(z, LEAK * z)
             logit = a @ self.top + self.top_bias
             if self.classes == 1:
@@ -95,14 +116,13 @@ class ConvNet:
                 prob /= prob.sum(1, keepdims=True)
             d = ((prob - target) * weight[:, None] / weight.sum()).astype("f4")
             dz = (d @ self.top.T) * np.where(z > 0, np.float32(1), LEAK)
-            best = p[np.arange(n)[:, None], at]  # [texts, filters, window x dim]
             d_kernel = np.einsum("nf,nfk->kf", dz, best) * self.mask + decay * self.kernel
             d_patch = dz[:, :, None] * self.kernel.T[None]
             adam.step([d_kernel, dz.sum(0), a.T @ d + decay * self.top, d.sum(0)])
             place = at[:, :, None] + np.arange(self.wide)
             d_embed = d_patch.reshape(n, -1, self.wide, self.dim).reshape(-1, self.dim)
             for t, x, (m, v) in zip(self.tables, inputs, moments):
-                rows = x[np.arange(n)[:, None, None], place].ravel()
+                rows = x[row[:, :, None], place].ravel()
                 own, back = np.unique(rows, return_inverse=True)
                 g = np.zeros((len(own), self.dim), "f4")
                 np.add.at(g, back, d_embed)

@@ -127,8 +127,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     part = remainder(F.col("doc_id"), 4)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    labelled = docs.where(part != 2).join(labels.where(part != 2), "doc_id")
-    model = toxicity.ToxicityModel().fit(toxicity.training_rows(labelled))
+    model = toxicity.ToxicityModel().fit(toxicity.training_rows(docs.where(part != 2), labels.where(part != 2)))
     out = toxicity.score_toxicity(docs, model)
     return out.select(
         "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")

@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from annospark.llm.cnn import ConvNet
 from annospark.llm.common import bounded_batches
 
-#: Labelled documents that the network is fitted on, at most, and the longest
-#: (in characters) among them.
+#: Labelled documents that the network is fitted on, at most, and the characters
+#: of them all together; fewer documents by hash where they would have more.
 TRAINING_DOCS = 12_000
-TRAINING_CHARS = 5_000
+TRAINING_CHARS = 40_000_000
+#: Words of a training step, about; longer texts make smaller batches.
+STEP_WORDS, LEAST_BATCH = 1 << 17, 8
 #: Rows of each embedding table; words of a window.
 BITS = 17
 ROWS = 1 << BITS
@@ -73,7 +75,8 @@ def _windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         for at in range(0, max(1, len(words) - OVERLAP), WINDOW - OVERLAP):
             rows.append(words[at : at + WINDOW])
             owner.append(i)
-    out = np.zeros((len(rows), WINDOW), np.int64)
+    # padding after every window, so that no score depends on the texts around
+    out = np.zeros((len(rows), max(map(len, rows), default=0) + OVERLAP + 1), np.int64)
     for i, r in enumerate(rows):
         out[i, : len(r)] = r
     return out, np.array(owner, np.int64)
@@ -100,18 +103,18 @@ class ToxicityModel:
         self.net = ConvNet([ROWS] * 3, DIM, WIDTHS, FILTERS, 1, self.seed)
         rnd = np.random.default_rng(self.seed)
         one, none = fit_on[y[fit_on] == 1], fit_on[y[fit_on] == 0]
-        # texts of like lengths together, half of them toxic
+        # whole texts, half of them toxic
         size = np.array([len(t) for t in texts])
+        words = (size[one].mean() + size[none].mean()) / 2
+        batch = int(min(batch, max(LEAST_BATCH, STEP_WORDS / max(1, words))))
 
         def draw(_: int):
             pick = np.concatenate([rnd.choice(one, batch // 2), rnd.choice(none, batch // 2)])
-            x = np.zeros((len(pick), max(OVERLAP + 1, int(size[pick].max()))), np.int64)
-            for i, k in enumerate(pick):
-                x[i, : size[k]] = texts[k]
+            x, owner = _windows([texts[k] for k in pick])
             rows = _inputs(x)
             for r in rows:  # no part of a word may be relied on alone
-                r[rnd.random(x.shape) < 0.5] = 0
-            return rows, y[pick][:, None], np.ones(len(pick), "f4")
+                r[rnd.random(x.shape, "f4") < 0.5] = 0
+            return rows, y[pick][:, None], np.ones(len(pick), "f4"), np.searchsorted(owner, np.arange(len(pick)))
 
         held, wanted = [texts[i] for i in np.flatnonzero(aside)], y[aside]
         least, best, worse = np.inf, None, 0
@@ -129,11 +132,11 @@ class ToxicityModel:
         return self
 
     def _raw(self, texts: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.net.bias)), "f4")
+        out = np.full((len(texts), len(self.net.bias)), -np.inf, "f4")
         x, owner = _windows(texts)
         for at in range(0, len(x), 64):
             part = x[at : at + 64]
-            part = part[:, : max(OVERLAP + 1, int((part != 0).sum(1).max()))]
+            part = part[:, : int((part != 0).sum(1).max()) + OVERLAP + 1]
             np.maximum.at(out, owner[at : at + 64], self.net.pooled(_inputs(part)))
         return (out @ self.net.top + self.net.top_bias)[:, 0].astype(float)
 
@@ -166,16 +169,21 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.scale * raw + self.shift, -30, 30)))
 
 
-def training_rows(labelled: DataFrame, most: int = TRAINING_DOCS, chars: int = TRAINING_CHARS) -> list[tuple[str, int, str | None]]:
-    """(text, toxic, lang) of at most ``most`` labelled documents by hash, half
-    of them toxic where there are so many, none longer than ``chars``.
-    ``labelled``: doc_id, text, lang, toxic."""
-    some = labelled.where("text is not null and toxic in (0, 1)").where(F.length("text") <= chars)
-    counts = {int(r.toxic): r.n for r in some.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, chars: int = TRAINING_CHARS) -> list[tuple[str, int, str | None]]:
+    """(text, toxic, lang) of at most ``most`` labelled documents and about
+    ``chars`` characters, half of each for either class where there is so much.
+    Documents are taken by hash alone, whatever their length, and whole.
+    ``docs``: doc_id, text, lang; ``labels``: doc_id, toxic. Only ids and lengths
+    are shuffled; the texts that are drawn are found by a broadcast of their ids.
+    """
+    sizes = docs.where("text is not null").select("doc_id", F.length("text").cast("long").alias("size"))
+    sizes = sizes.join(labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct(), "doc_id")
+    counts = sizes.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).collect()
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("toxicity")), 11) / F.lit(float(1 << 53))
-    share = {k: min(1.0, 0.45 * most / n) if n > most / 2 else 1.0 for k, n in counts.items()}
-    rows = some.where(draw < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))).select("text", "toxic", "lang").collect()
-    return [(r.text, int(r.toxic), r.lang) for r in rows]
+    share = {r.toxic: min(0.45 * most / r.n if r.n > most / 2 else 1.0, 0.45 * chars / r.chars if r.chars > chars / 2 else 1.0) for r in counts}
+    some = sizes.where(draw < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))).select("doc_id", "toxic").distinct()
+    rows = docs.where("text is not null").join(F.broadcast(some), "doc_id").select("text", "toxic", "lang").collect()
+    return [(r.text, r.toxic, r.lang) for r in rows]
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", lang: str | None = None) -> DataFrame:

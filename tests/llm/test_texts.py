@@ -140,6 +140,32 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity.ToxicityModel().fit([]).score(["x"]).tolist() == [0.0]
 
 
+def test_toxicity_learns_from_long_texts_alone(spark):
+    rnd = random.Random(5)
+    plain = [f"{a}{b}" for a in "bcdfgh" for b in ("at", "ol", "im", "und", "ers")]
+    bad = ["vexo", "vexon", "vexoling"]
+
+    def text(toxic, n):
+        words = [rnd.choice(plain) for _ in range(n)]
+        for _ in range(3 * toxic):
+            words.insert(rnd.randrange(len(words)), rnd.choice(bad))
+        return " ".join(words)
+
+    rows = [(i, text(i % 3 == 0, rnd.randrange(1300, 2500)), "en", int(i % 3 == 0)) for i in range(240)]
+    assert min(len(r[1]) for r in rows) > 5000
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    docs, labels = labelled.drop("toxic"), labelled.select("doc_id", "toxic")
+    picked = toxicity.training_rows(docs, labels)
+    assert sorted(t for t, _, _ in picked) == sorted(r[1] for r in rows)
+    model = toxicity.ToxicityModel().fit(picked)
+    test = [(text(i % 2, 2000 if i % 4 > 1 else 60), i % 2) for i in range(60)]
+    score = model.score([t for t, _ in test])
+    assert sum((s >= 0.3) == bool(y) for s, (_, y) in zip(score, test)) >= 0.95 * len(test)
+    # the bound on characters draws fewer documents, not shorter ones
+    some = toxicity.training_rows(docs, labels, chars=400_000)
+    assert 0 < len(some) < 120 and all(t in {r[1] for r in rows} for t, _, _ in some)
+
+
 def test_quality_on_held_out_texts(spark):
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choice(["an", "the", "lo", "ri", "us"]) for _ in range(rnd.randrange(1, 4)))
