@@ -127,6 +127,23 @@ def test_proposals(spark, onto):
     assert [r.proposal_id for r in out["warnings"].collect()] == ["p6"]
 
 
+def test_proposal_values_are_the_reference_s(spark, onto):
+    base = {"assertion": "present", "experiencer": "patient", "temporality": "current"}
+    allowed = {"assertion": ["present", "absent", "uncertain"], "experiencer": ["patient", "family_member", "other"], "temporality": ["current", "historical"]}
+    refused = [("assertion", "possible"), ("experiencer", "family"), ("temporality", "past"), ("temporality", "unspecified")]
+    cases = [(k, v) for k, values in allowed.items() for v in values] + refused
+    items = [
+        json.dumps({"proposal_id": f"p{i:03d}", "hpo_id": "HP:0000001", "hpo_label": "Fever", "verbalized": True, "mentions": [{"phrase": "Fieber", "context": "Fieber"}]} | base | {k: v})
+        for i, (k, v) in enumerate(cases)
+    ]
+    reports = spark.createDataFrame([(f"d{i}", [item]) for i, item in enumerate(items)], "document_id string, annotations array<string>")
+    docs = spark.createDataFrame([(f"d{i}", "Fieber") for i in range(len(items))], "document_id string, text string")
+    out = proposals.validate(reports, docs, onto["terms"].withColumn("phenotypic", F.lit(True)), onto["alternates"])
+    good = len(cases) - len(refused)
+    assert {(r.document_id, r.reason) for r in out["rejections"].collect()} == {(f"d{i}", "invalid_schema") for i in range(good, len(cases))}
+    assert {r.document_id for r in out["proposals"].collect()} == {f"d{i}" for i in range(good)}
+
+
 @pytest.mark.parametrize("source, target, added", [
     ("20 y 33 mm", "20 mm bzw. 33 mm", ["mm"]), ("200mg", "200 mg", []), ("5", "5 µg", ["μg"]), ("1.500 g", "1,500 g", []), ("IgM 4", "IgM 4", []), ("7", "8 mg", []), ("", "3 mg", []),
 ])
