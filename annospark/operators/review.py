@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.functions.hashing import strict_date
+from annospark.functions.text import canonical, utf16_length
 from annospark.operators.checks import issue
 from annospark.operators.relational import last_per_key
 
@@ -56,6 +57,73 @@ def import_review(rows: DataFrame, export: DataFrame, meta: dict[str, str], expe
     return hit.select("r.*"), issues
 
 
+#: Values of a translation review's workbook.
+WORKBOOK_DECISIONS = ["unverändert akzeptiert", "korrigiert akzeptiert", "Rückfrage", "abgelehnt"]
+WORKBOOK_CHANGES = ["keine", "vorhanden"]
+WORKBOOK_CATEGORIES = ["Auslassung", "Hinzufügung", "Negation oder Aussagesicherheit", "Zahl oder Einheit", "Anatomie oder Lateralität", "Terminologie", "Quellproblem"]
+_METADATA = ["selection_id", "review_policy_id", "reviewer_id", "reviewer_qualification", "reviewed_languages", "review_date"]
+_CELLS = ["source_case_id", "source_language", "source_text", "tllm_text", "proposed_text", "decision", "clinical_change", "clinical_change_category", "clinical_change_rationale", "reviewer_comment"]
+
+
+def workbook_decision_fits(decision: Column, changed: Column, change: Column, category: Column, rationale: Column) -> Column:
+    """The reference's decision table. Unchanged: the machine's text, no change
+    and no details. Corrected: another text, and no change without details or a
+    change with both. Question and rejection: a change with both."""
+    both, neither = category.isNotNull() & rationale.isNotNull(), category.isNull() & rationale.isNull()
+    plain, present = (change == "keine") & neither, (change == "vorhanden") & both
+    fits = F.when(decision == WORKBOOK_DECISIONS[0], ~changed & plain).when(decision == WORKBOOK_DECISIONS[1], changed & (plain | present)).otherwise(present)
+    return F.coalesce(fits, F.lit(False))
+
+
+def import_translation_review(rows: DataFrame, export: DataFrame, meta: dict[str, str], expected: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(decisions, issues) of a translation review's workbook, by all the
+    reference's checks of metadata and rows; use the decisions only where there
+    are no issues. ``rows``: the workbook's ten columns and nmt_text (null where
+    it has none), null cells being empty; ``export``: source_case_id,
+    source_language, source_text, tllm_text, nmt_text; ``expected``:
+    selection_id and review_policy_id. An issue's detail is its field."""
+    spark = rows.sparkSession
+    heads = []
+    for field in _METADATA:
+        value = meta.get(field) or ""
+        heads += [(field, "required")] * (not value) + [(field, "cell_too_long")] * (len(value.encode("utf-16-le")) // 2 > CELL_LIMIT)
+        heads += [(field, "mismatch")] * (field in expected and value != expected[field])
+    day = meta.get("review_date") or ""
+    if day and spark.range(1).select(valid_review_date(F.lit(day)).alias("ok")).first().ok is not True:
+        heads.append(("review_date", "invalid_date"))
+    issues = spark.createDataFrame([("review", f, f"metadata_{w}", f) for f, w in heads], "operator string, key string, reason string, detail string")
+
+    r = rows.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in _CELLS), "nmt_text").alias("r")
+    e = export.alias("e")
+    has = lambda df: df.agg(F.coalesce(F.bool_or(F.col("nmt_text").isNotNull()), F.lit(False)).alias("has"))
+    column = has(rows).alias("a").crossJoin(has(export).alias("b")).where("a.has <> b.has")
+    issues = issues.unionByName(column.select(*issue("review", F.lit(None), "column_presence_differs", F.lit("nmt_text"))))
+    twice = r.groupBy("source_case_id").count().where("count > 1").select(*issue("review", F.col("source_case_id"), "repeated_case", F.lit("source_case_id")))
+    lost = e.join(r, F.col("e.source_case_id") == F.col("r.source_case_id"), "left_anti")
+    issues = issues.unionByName(twice).unionByName(lost.select(*issue("review", F.col("source_case_id"), "missing_case", F.lit("source_case_id"))))
+
+    both = r.join(e.withColumn("known", F.lit(True)).alias("e"), F.col("r.source_case_id") == F.col("e.source_case_id"), "left")
+    known = F.col("e.known").isNotNull()
+    cell = {c: F.col(f"r.{c}") for c in [*_CELLS, "nmt_text"]}
+    given = lambda c, values: F.when(cell[c].isin(values), cell[c])
+    decision, change, category = given("decision", WORKBOOK_DECISIONS), given("clinical_change", WORKBOOK_CHANGES), given("clinical_change_category", WORKBOOK_CATEGORIES)
+    changed = canonical(cell["proposed_text"]) != canonical(F.col("e.tllm_text"))
+    differs = lambda c: known & F.col(f"e.{c}").isNotNull() & (cell[c].isNull() | (canonical(cell[c]) != canonical(F.col(f"e.{c}"))))
+    rules = [
+        ("unknown_case", "source_case_id", ~known),
+        *(("cell_too_long", c, utf16_length(v) > CELL_LIMIT) for c, v in cell.items()),
+        *(("required", c, cell[c] == "") for c in ("proposed_text", "decision", "clinical_change")),
+        *(("not_allowed_value", c, (cell[c] != "") & v.isNull()) for c, v in (("decision", decision), ("clinical_change", change), ("clinical_change_category", category))),
+        ("export_differs", "source_language", known & ~cell["source_language"].eqNullSafe(F.col("e.source_language"))),
+        *(("export_differs", c, differs(c)) for c in ("source_text", "tllm_text", "nmt_text")),
+        ("decision_not_allowed", "decision", decision.isNotNull() & change.isNotNull() & changed & ~workbook_decision_fits(decision, F.lit(True), change, category, F.nullif(cell["clinical_change_rationale"], F.lit("")))),
+        ("decision_not_allowed", "decision", decision.isNotNull() & change.isNotNull() & ~changed & ~workbook_decision_fits(decision, F.lit(False), change, category, F.nullif(cell["clinical_change_rationale"], F.lit("")))),
+    ]
+    found = F.filter(F.array(*(F.when(c, F.struct(F.lit(why).alias("why"), F.lit(field).alias("field"))) for why, field, c in rules)), lambda v: v.isNotNull())
+    broken = both.select(cell["source_case_id"].alias("k"), F.explode(found).alias("x"))
+    return both.where(known).select("r.*"), issues.unionByName(broken.select(*issue("review", F.col("k"), F.col("x.why"), F.col("x.field"))))
+
+
 def valid_review_date(value: Column) -> Column:
     return strict_date(value).isNotNull()
 

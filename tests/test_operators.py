@@ -1,4 +1,5 @@
 import io
+import itertools
 import json
 import zipfile
 
@@ -175,6 +176,32 @@ def test_review_import(spark):
     }
 
 
+def test_translation_review_decision_table(spark):
+    decisions, changes = ["unverändert akzeptiert", "korrigiert akzeptiert", "Rückfrage", "abgelehnt"], ["keine", "vorhanden"]
+    cases = list(itertools.product(decisions, (False, True), changes, ("", "Terminologie"), ("", "why")))
+    columns = review._CELLS + ["nmt_text"]
+    row = lambda i, d, p, ch, cat, why: (f"c{i}", "en", "s", "m\n", p, d, ch, cat, why, None, None)
+    rows = [row(i, d, "x" if new else "m\r\n", ch, cat, why) for i, (d, new, ch, cat, why) in enumerate(cases)]
+    n = len(rows)
+    odd = [
+        row(n, "vielleicht", "", "etwas", "Sonstiges", ""), ("c%d" % (n + 1), "fr", "other", "m", "m", decisions[0], "keine", "", "", "\U0001F600" * 16384, None),
+        row(n + 2, decisions[0], "m\n", "keine", "", ""), row(n + 2, decisions[0], "m\n", "keine", "", ""), row("z", decisions[0], "m\n", "keine", "", ""),
+    ]
+    text = ", ".join(f"{c} string" for c in columns)
+    export = spark.createDataFrame([(f"c{i}", "en", "s", "m\n", None) for i in range(n + 4)], "source_case_id string, source_language string, source_text string, tllm_text string, nmt_text string")
+    meta = {"selection_id": "s", "review_policy_id": "q", "reviewer_id": "r", "reviewer_qualification": "", "reviewed_languages": "en", "review_date": "2024-02-30"}
+    _, issues = review.import_translation_review(spark.createDataFrame(rows + odd, text), export, meta, {"selection_id": "s", "review_policy_id": "p"})
+    got = {(r.key, r.reason, r.detail) for r in issues.collect()}
+    allowed = {(decisions[0], False, "keine", "", ""), (decisions[1], True, "keine", "", "")} | {(decisions[1], True, "vorhanden", "Terminologie", "why")}
+    allowed |= {(d, new, "vorhanden", "Terminologie", "why") for d in decisions[2:] for new in (False, True)}
+    want = {(f"c{i}", "decision_not_allowed", "decision") for i, c in enumerate(cases) if c not in allowed}
+    want |= {(f"c{n}", "required", "proposed_text")} | {(f"c{n}", "not_allowed_value", c) for c in ("decision", "clinical_change", "clinical_change_category")}
+    want |= {(f"c{n + 1}", "export_differs", c) for c in ("source_language", "source_text", "tllm_text")} | {(f"c{n + 1}", "cell_too_long", "reviewer_comment"), (f"c{n + 1}", "decision_not_allowed", "decision")}
+    want |= {(f"c{n + 2}", "repeated_case", "source_case_id"), ("cz", "unknown_case", "source_case_id"), (f"c{n + 3}", "missing_case", "source_case_id")}
+    want |= {("review_policy_id", "metadata_mismatch", "review_policy_id"), ("reviewer_qualification", "metadata_required", "reviewer_qualification"), ("review_date", "metadata_invalid_date", "review_date")}
+    assert got == want
+
+
 def test_corpus_takes_the_last_decision(spark):
     groups = spark.createDataFrame([("a", "en", "de"), ("b", "en", "de"), ("c", "en", "en")], "case_id string, lang string, group string")
     native = spark.createDataFrame([(c, f"text {c}") for c in "abc"], "case_id string, text string")
