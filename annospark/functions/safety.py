@@ -12,23 +12,54 @@ from pyspark.sql import functions as F
 
 from annospark.operators.checks import issue
 
-# Forms of well-known credentials.
-CREDENTIALS = [
-    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----",
-    r"\bAKIA[0-9A-Z]{16}\b",
-    r"\bgh[pousr]_[A-Za-z0-9]{36,}\b",
-    r"\bAIza[0-9A-Za-z_-]{35}\b",
-    r"\bxox[abprs]-[0-9A-Za-z-]{10,}",
-    r"(?i)\b(?:api[_-]?key|secret|token|password)\b\s*[:=]\s*[\"']?[A-Za-z0-9_+/=-]{16,}",
+# Names of assignments, forms of well-known credentials, and
+# whole values that stand for none. All as in the reference.
+_NAME = (
+    r"(?<name>(?:[A-Za-z][A-Za-z0-9]*[-_]){0,2}(?:api[-_]?key|client[-_]?secret|secret[-_]?access[-_]?key|secret|token|password"
+    r"|credential|private[-_]?key|access[-_]?key(?:[-_]?id)?))"
+)
+_QUOTE = r"(?<quote>[\"']?)"
+_BARE = r"[A-Za-z0-9_./+~=@:%-]+"
+# (?d): only line feeds end lines, as in Python. A value is the third group.
+ASSIGNMENT = rf"(?imdu)^[ \t]*(?:export[ \t]+)?{_QUOTE}{_NAME}\k<quote>[ \t]*[:=][ \t]*(?<value>\"[^\"\r\n]*\"|'[^'\r\n]*'|{_BARE})[ \t]*,?[ \t]*(?:#[^\r\n]*)?$"
+STRUCTURED_ASSIGNMENT = (
+    rf"(?idu)(?:(?<=\{{)|(?<=,))[ \t\r\n]*{_QUOTE}{_NAME}\k<quote>[ \t\r\n]*:[ \t\r\n]*"
+    rf"(?<value>\"(?:\\.|[^\"\\\r\n])*+\"|'(?:\\.|[^'\\\r\n])*+'|{_BARE})(?=[ \t\r\n]*(?:[,}}\]#]|$))"
+)
+SIGNATURES = [
+    r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])",
+    r"(?<![A-Za-z0-9])github_pat_[A-Za-z0-9_]{50,}",
+    r"(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Z0-9])",
+    r"(?iU)\bBearer[ \t]+[A-Za-z0-9._~+/=-]{20,}",
+    r"-----BEGIN (?:(?:RSA|EC|OPENSSH|DSA|ENCRYPTED) )?PRIVATE KEY-----",
+    r"-----BEGIN PGP " + r"PRIVATE KEY BLOCK-----",
 ]
-PLACEHOLDER = r"(?i)example|placeholder|changeme|dummy|your[_-]|x{6,}|<[^>]*>|\$\{"
+PLACEHOLDERS = ["changeme", "dummy", "example", "must not be logged", "placeholder", "redacted", "replace-me", "replace_me", "short", "test-only", "test_only"]
 
 
-def has_credential(text: Column) -> Column:
-    """Whether a text holds something formed like a credential that is no
-    placeholder."""
-    hits = F.flatten(F.array(*(F.regexp_extract_all(text, F.lit(f"({p})"), F.lit(1)) for p in CREDENTIALS)))
-    return F.coalesce(F.exists(hits, lambda h: ~h.rlike(PLACEHOLDER)), F.lit(False))
+#: Whole values that ``safety_issues`` lets pass besides: your_token_goes_here.
+YOUR_OWN = r"(?i)^your(?:[_-][a-z]+)+(?:[_-]\d+)?\z"
+
+
+def _placeholder(value: Column) -> Column:
+    bare = value
+    for edge in (r"\s", r"[\"']", r"\s"):
+        bare = F.regexp_replace(bare, rf"(?U)^{edge}+|{edge}+\z", "")
+    whole = r"(?s)^(?:<.*>|\$\{.*\}|\$[A-Za-z_][A-Za-z0-9_]*|[xX]+|0+|\*+)\z"
+    return (F.length(bare) < 12) | F.lower(bare).isin(PLACEHOLDERS) | bare.rlike(whole)
+
+
+def has_credential(text: Column, besides: str | None = None) -> Column:
+    """Whether a text holds a credential's signature, or gives a name like
+    ``password`` a value that is no placeholder, nor matches ``besides``
+    without its quotes."""
+    signed = F.lit(False)
+    for pattern in SIGNATURES:
+        signed = signed | text.rlike(pattern)
+    body = F.regexp_replace(text, r"^\uFEFF+", "")
+    values = F.concat(*(F.regexp_extract_all(body, F.lit(p), F.lit(3)) for p in (ASSIGNMENT, STRUCTURED_ASSIGNMENT)))
+    real = lambda v: ~_placeholder(v) & ~(F.btrim(v, F.lit("\"'")).rlike(besides) if besides else F.lit(False))
+    return F.coalesce(signed | F.exists(values, real), F.lit(False))
 
 
 def safety_issues(files: DataFrame, forbidden: list[str]) -> DataFrame:
@@ -37,7 +68,7 @@ def safety_issues(files: DataFrame, forbidden: list[str]) -> DataFrame:
     for prefix in forbidden:
         bad_path = bad_path | F.startswith("path", F.lit(prefix))
     return files.where(bad_path).select(*issue("safety", F.col("path"), "forbidden_path")).unionByName(
-        files.where(has_credential(F.col("text"))).select(*issue("safety", F.col("path"), "credential"))
+        files.where(has_credential(F.col("text"), YOUR_OWN)).select(*issue("safety", F.col("path"), "credential"))
     )
 
 
