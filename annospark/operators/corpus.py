@@ -27,26 +27,94 @@ def build_corpus(groups: DataFrame, native: DataFrame, reviews: DataFrame, targe
     return entry.where(~wait).withColumn("document_sha256", F.sha2("text", 256)), entry.where(wait).select("case_id")
 
 
-METHODS = ["source_import", "proposal_acceptance", "mapping_acceptance", "contextual_refinement", "manual"]
-
-
-def curated_issues(annotations: DataFrame, documents: DataFrame, terms: DataFrame, proposals: DataFrame, mappings: DataFrame) -> DataFrame:
-    """All issues of curated annotations (annotation_id, document_id, term_id,
-    method, source_id, start, end, phrase): references that do not resolve to
-    one record, spans that do not read their phrase, unknown methods, and
-    sources that name another term. Obsolete terms are allowed here."""
-    by_method = {"proposal_acceptance": (proposals, "proposal_id"), "mapping_acceptance": (mappings, "mapping_id")}
-    out = annotations.where(~F.coalesce(F.col("method").isin(METHODS), F.lit(False))).select(*issue("curation", F.col("annotation_id"), "unknown_method", F.col("method")))
-    for target, key in ((documents, "document_id"), (terms, "term_id")):
-        out = out.unionByName(resolved_once(annotations, target, key, key))
-    for method, (target, key) in by_method.items():
-        own = annotations.where(F.col("method") == method)
-        out = out.unionByName(resolved_once(own, target, "source_id", key))
-        both = own.alias("a").join(target.alias("s"), F.col("a.source_id") == F.col(f"s.{key}"))
-        out = out.unionByName(both.where("a.term_id <> s.term_id").select(*issue("curation", F.col("a.annotation_id"), "term_differs_from_source", F.col("s.term_id"))))
-    read = annotations.alias("a").join(documents.alias("d"), F.col("a.document_id") == F.col("d.document_id"))
-    wrong = read.where(~snippet_holds(F.col("d.text"), F.col("a.start"), F.col("a.end"), F.col("a.phrase")))
-    return out.unionByName(wrong.select(*issue("curation", F.col("a.annotation_id"), "span_does_not_hold")))
+METHODS = ["direct_mapping", "contextual_refinement", "source_hpo", "manual_annotation", "revision"]
+#: Kinds of sources and the tables and keys that their references resolve by.
+SOURCES = {
+    "e3c_source_annotation": ("source_annotations", ["artifact_sha256", "set_id", "record_id"]),
+    "umls_hpo_mapping_record": ("mappings", ["artifact_sha256", "record_id"]),
+    "raghpo_source_annotation": ("raghpo", ["artifact_sha256", "set_id", "record_id"]),
+    "curated_annotation": ("curated", ["artifact_sha256", "record_id"]),
+}
+_DOCUMENT, _ONTOLOGY = ["documents_sha256", "document_id", "document_sha256"], ["hpo_release", "ontology_sha256"]
+
+
+def _resolved(refs: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """``refs`` with n_found, the number of targets, and ``to``, one of them."""
+    one = target.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.count("*").alias("n_found"), F.first(F.struct(*target.columns)).alias("to"))
+    on = [F.col(k) == F.col(f"_{k}") for k in keys]
+    return refs.join(one, on, "left").drop(*(f"_{k}" for k in keys)).withColumn("n_found", F.coalesce("n_found", F.lit(0)))
+
+
+def curated_issues(annotations: DataFrame, documents: DataFrame, terms: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """All issues of curated annotations: annotation_set_id, annotation_id,
+    term_id, documents_sha256, document_id, document_sha256, hpo_release,
+    ontology_sha256, spans ARRAY<STRUCT<start, end, phrase>> and derivations
+    ARRAY<STRUCT<method, sources ARRAY<STRUCT<kind, artifact_sha256, set_id,
+    record_id, sidecar_sha256, row_id>>>>.
+
+    ``documents``: documents_sha256, document_id, document_sha256, text;
+    ``terms``: hpo_release, ontology_sha256, term_id (obsolete ones are allowed).
+    ``tables``: source_annotations (artifact_sha256, set_id, record_id,
+    concept_id, document_sha256), mappings (artifact_sha256, record_id,
+    documents_sha256, hpo_release, ontology_sha256, source_annotations_sha256,
+    source_set_id, source_annotation_id, concept_id, candidates ARRAY<STRING>),
+    raghpo (artifact_sha256, set_id, record_id, term_id, document_sha256,
+    hpo_release), sidecars (sidecar_sha256, row_id, derived ARRAY<STRING>) and
+    curated (artifact_sha256, record_id, document_sha256, hpo_release,
+    ontology_sha256). A key is set/annotation, or set/annotation/activity.
+    """
+    own = annotations.withColumn("key", F.concat_ws("/", "annotation_set_id", "annotation_id"))
+    say = lambda df, why, detail=None: df.select(*issue("curation", F.col("key"), why, detail))
+    how_many = F.when(F.col("n_found") == 0, "unresolved_reference").otherwise("ambiguous_reference")
+
+    read = _resolved(own, documents.select(*_DOCUMENT, "text"), _DOCUMENT[:2])
+    out = say(read.where("n_found <> 1"), how_many, F.lit("document"))
+    read = read.where("n_found = 1")
+    out = out.unionByName(say(read.where(~F.col("document_sha256").eqNullSafe(F.col("to.document_sha256"))), "document_differs"))
+    spans = read.select("key", F.col("to.text").alias("text"), F.explode("spans").alias("s"))
+    held = F.coalesce(snippet_holds(F.col("text"), F.col("s.start"), F.col("s.end"), F.col("s.phrase")), F.lit(False))
+    out = out.unionByName(say(spans.where(~held), "span_does_not_hold", F.col("s.start")))
+    lost = own.join(terms.select(*_ONTOLOGY).distinct(), _ONTOLOGY, "left_anti")
+    out = out.unionByName(say(lost, "unknown_ontology")).unionByName(say(own.join(terms.select(*_ONTOLOGY, "term_id").distinct(), [*_ONTOLOGY, "term_id"], "left_anti"), "unknown_term", F.col("term_id")))
+
+    context = ["term_id", "documents_sha256", "document_sha256", *_ONTOLOGY]
+    acts = own.select("key", *context, F.posexplode_outer("derivations").alias("nr", "d"))
+    acts = acts.select(F.concat_ws("/", "key", "nr").alias("key"), *context, F.col("d.method").alias("method"), F.col("d.sources").alias("sources"))
+    out = out.unionByName(say(acts.where(~F.coalesce(F.col("method").isin(METHODS), F.lit(False))), "unknown_method", F.col("method")))
+    out = out.unionByName(say(acts.where(F.coalesce(F.size("sources"), F.lit(0)) < 1), "no_sources"))
+    refs = acts.select("key", *context, F.explode("sources").alias("s")).select("key", *context, "s.*")
+    out = out.unionByName(say(refs.where(~F.coalesce(F.col("kind").isin(*SOURCES, "bound_document"), F.lit(False))), "unknown_source_kind", F.col("kind")))
+    found = {}
+    for kind, (name, keys) in SOURCES.items():
+        at = _resolved(refs.where(F.col("kind") == kind), tables[name], keys)
+        out = out.unionByName(say(at.where("n_found <> 1"), how_many, F.lit(kind)))
+        found[kind] = at.where("n_found = 1")
+        same = [c for c in context if c != "term_id" and c in tables[name].columns]
+        differs = F.lit(False)
+        for c in same:
+            differs = differs | ~F.col(c).eqNullSafe(F.col(f"to.{c}"))
+        out = out.unionByName(say(found[kind].where(differs), "source_inputs_differ", F.lit(kind)))
+    e3c, mapped, rag, revised = (found[k] for k in SOURCES)
+    rows = _resolved(rag.drop("n_found").withColumnRenamed("to", "hit"), tables["sidecars"], ["sidecar_sha256", "row_id"])
+    out = out.unionByName(say(rows.where("n_found <> 1"), how_many, F.lit("sidecar")))
+    out = out.unionByName(say(rows.where((F.col("n_found") == 1) & ~F.coalesce(F.array_contains("to.derived", F.col("record_id")), F.lit(False))), "row_does_not_derive_annotation"))
+
+    a = e3c.select("key", F.col("artifact_sha256").alias("sha"), F.col("set_id").alias("source_set"), F.col("record_id").alias("source_id"), F.col("to.concept_id").alias("concept")).alias("a")
+    m = mapped.select("key", "term_id", "to").alias("m")
+    pairs = a.join(
+        m,
+        (F.col("a.key") == F.col("m.key")) & (F.col("a.sha") == F.col("m.to.source_annotations_sha256")) & (F.col("a.source_set") == F.col("m.to.source_set_id"))
+        & (F.col("a.source_id") == F.col("m.to.source_annotation_id")) & F.col("a.concept").eqNullSafe(F.col("m.to.concept_id")),
+    )
+    proven = {
+        "direct_mapping": (pairs.where(F.array_contains("m.to.candidates", F.col("m.term_id"))).select("a.key"), "not_a_mapping_candidate"),
+        "source_hpo": (rag.where(F.col("term_id") == F.col("to.term_id")).select("key"), "term_differs_from_source"),
+        "revision": (revised.select("key"), "no_curated_source"),
+        "manual_annotation": (refs.where("kind = 'bound_document'").select("key"), "no_bound_document"),
+    }
+    for method, (good, why) in proven.items():
+        out = out.unionByName(say(acts.where(F.col("method") == method).join(good.distinct(), "key", "left_anti"), why))
+    return out
 
 
 def decision_issues(decisions: DataFrame, targets: DataFrame) -> DataFrame:

@@ -211,6 +211,39 @@ def test_corpus_takes_the_last_decision(spark):
     assert [r.case_id for r in pending.collect()] == ["b"]
 
 
+def test_curated_derivations(spark):
+    ref = lambda kind, sha=None, own=None, rec=None, side=None, line=None: (kind, sha, own, rec, side, line)
+    e3c, mapped, rag, old, bound = ref("e3c_source_annotation", "S", "s", "x1"), ref("umls_hpo_mapping_record", "M", None, "m1"), ref("raghpo_source_annotation", "R", "r", "g1", "K", "l1"), ref("curated_annotation", "C", None, "c1"), ref("bound_document")
+    cases = [
+        ("T1", "direct_mapping", [e3c, mapped], set()), ("T2", "direct_mapping", [e3c, mapped], {"not_a_mapping_candidate"}), ("T1", "direct_mapping", [mapped], {"not_a_mapping_candidate"}),
+        ("T1", "direct_mapping", [ref("e3c_source_annotation", "S", "s", "x2"), mapped], {"not_a_mapping_candidate"}), ("T1", "source_hpo", [rag], set()), ("T2", "source_hpo", [rag], {"term_differs_from_source"}),
+        ("T1", "source_hpo", [ref("raghpo_source_annotation", "R", "r", "g1", "K", "l2")], {"row_does_not_derive_annotation"}), ("T1", "revision", [old], set()), ("T1", "revision", [bound], {"no_curated_source"}),
+        ("T1", "manual_annotation", [bound], set()), ("T1", "manual_annotation", [old], {"no_bound_document"}), ("T2", "contextual_refinement", [e3c], set()), ("T1", "manual", [bound], {"unknown_method"}),
+        ("T1", "contextual_refinement", [ref("umls_hpo_mapping_record", "M", None, "m2")], {"source_inputs_differ"}), ("T1", "contextual_refinement", [ref("curated_annotation", "C", None, "none")], {"unresolved_reference"}),
+        ("T1", "contextual_refinement", [ref("e3c_source_annotation", "S", "t", "y1")], {"source_inputs_differ"}), ("T9", "contextual_refinement", [bound], {"unknown_term"}), ("T1", "contextual_refinement", [], {"no_sources"}),
+    ]
+    source = "struct<kind:string,artifact_sha256:string,set_id:string,record_id:string,sidecar_sha256:string,row_id:string>"
+    schema = f"annotation_set_id string, annotation_id string, term_id string, documents_sha256 string, document_id string, document_sha256 string, hpo_release string, ontology_sha256 string, spans array<struct<start:int,end:int,phrase:string>>, derivations array<struct<method:string,sources:array<{source}>>>"
+    row = lambda i, term, method, sources, sha="h", spans=((0, 5, "fever"),), release="v1": ("a", str(i), term, "D", "d", sha, release, "O", list(spans), [(method, sources)])
+    rows = [row(i, *c[:3]) for i, c in enumerate(cases)] + [row("hash", "T1", "manual_annotation", [bound], "other"), row("span", "T1", "manual_annotation", [bound], spans=[(0, 6, "fever")]), row("release", "T1", "manual_annotation", [bound], release="v2")]
+    table = lambda rows, schema: spark.createDataFrame(rows, ", ".join(c if " " in c else f"{c} string" for c in schema.split(";")))
+    mapping_row = lambda rec, release: ("M", rec, "D", release, "O", "S", "s", "x1", "C1", ["T1", "T3"])
+    tables_ = {
+        "source_annotations": table([("S", "s", "x1", "C1", "h"), ("S", "s", "x2", "C1", "h"), ("S", "t", "y1", "C1", "other")], "artifact_sha256;set_id;record_id;concept_id;document_sha256"),
+        "mappings": table([mapping_row("m1", "v1"), mapping_row("m2", "v0")], "artifact_sha256;record_id;documents_sha256;hpo_release;ontology_sha256;source_annotations_sha256;source_set_id;source_annotation_id;concept_id;candidates array<string>"),
+        "raghpo": table([("R", "r", "g1", "T1", "h", "v1")], "artifact_sha256;set_id;record_id;term_id;document_sha256;hpo_release"),
+        "sidecars": table([("K", "l1", ["g1"]), ("K", "l2", ["g2"])], "sidecar_sha256;row_id;derived array<string>"),
+        "curated": table([("C", "c1", "h", "v1", "O")], "artifact_sha256;record_id;document_sha256;hpo_release;ontology_sha256"),
+    }
+    docs = table([("D", "d", "h", "fever")], "documents_sha256;document_id;document_sha256;text")
+    terms = table([("v1", "O", t) for t in ("T1", "T2", "T3")], "hpo_release;ontology_sha256;term_id")
+    got = {}
+    for r in corpus.curated_issues(spark.createDataFrame(rows, schema), docs, terms, tables_).collect():
+        got.setdefault(r.key.split("/")[1], set()).add(r.reason)
+    want = {str(i): c[3] for i, c in enumerate(cases) if c[3]} | {"hash": {"document_differs"}, "span": {"span_does_not_hold"}, "release": {"unknown_ontology", "unknown_term"}}
+    assert got == want
+
+
 def test_single_terms_and_candidates(spark):
     docs = spark.createDataFrame([("d", "high fever")], "document_id string, text string")
     notes = spark.createDataFrame([("n", "d", "T", [(5, 10), (5, 99)])], "annotation_id string, document_id string, term_id string, spans array<struct<start:int,end:int>>")
