@@ -140,6 +140,37 @@ def annotated_xml(members: DataFrame, types: list[str], relations: dict[str, lis
     return members.select("path", "content").mapInArrow(run, XML_KIND)
 
 
+#: Attributes of METADATA by the names that an attribution has for them.
+ATTRIBUTION = {"source_case_id": "docName", "author": "docAuthor", "doi": "docDOI", "url": "docUrl", "license": "docLicense"}
+
+
+def _attribution(content: bytes) -> dict:
+    try:
+        root = ET.fromstring(_plain_xml(content))
+    except (ET.ParseError, ValueError) as error:
+        return {"error": str(error)}
+    found = [e for e in root.iter() if e.tag.endswith("}METADATA")]
+    if len(found) != 1:
+        return {"error": f"{len(found)} METADATA elements"}
+    if not found[0].get("docName"):
+        return {"error": "METADATA without docName"}
+    return {name: found[0].get(attribute, "") for name, attribute in ATTRIBUTION.items()}
+
+
+def attributions(members: DataFrame) -> DataFrame:
+    """A row for each annotated XML file (path, content): source_case_id,
+    author, doi, url and license as its METADATA element gives them (empty where
+    it does not), or an error unless there is exactly one with a name."""
+    schema = pa.schema([(c, pa.string()) for c in ("path", *ATTRIBUTION, "error")])
+
+    def run(batches):
+        for batch in batches:
+            rows = [{"path": p, **_attribution(c)} for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return members.select("path", "content").mapInArrow(run, ", ".join(f"{c} string" for c in schema.names))
+
+
 def _sheet_rows(content: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
     """(sheet, row number, cells as text) of a workbook; formulas, external
     links and macros are errors."""
@@ -206,8 +237,10 @@ def sheet_table(rows: DataFrame, sheet: str, header: list[str]) -> tuple[DataFra
 
 def ontology(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """terms (id, label, obsolete, alternate_ids, replaced_by, consider,
-    umls_cuis, synonyms, parents), alternates (alternate, id), names (id, name)
-    and edges (parent, child) of an OBO file, in SQL functions."""
+    umls_cuis, synonyms, parents), alternates (alternate, id), names (id, name),
+    edges (parent, child) and issues of an OBO file, in SQL functions. Issues:
+    duplicate_id and duplicate_xref, which the reference fails on, and
+    malformed_xref, which it warns of; such an xref is left out."""
     text = spark.read.text(path, wholetext=True)
     stanza = F.explode(F.split(F.regexp_replace("value", r"\r\n?", "\n"), r"\n(?=\[)")).alias("stanza")
     s = text.select(stanza).where(F.startswith("stanza", F.lit("[Term]\n")))
@@ -215,14 +248,22 @@ def ontology(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     terms = s.select(
         F.regexp_extract("stanza", r"(?m)^id: (\S+)", 1).alias("id"), F.nullif(F.regexp_extract("stanza", r"(?m)^name: (.+)$", 1), F.lit("")).alias("label"),
         F.col("stanza").rlike(r"(?m)^is_obsolete: true").alias("obsolete"), every(r"alt_id: (\S+)").alias("alternate_ids"),
-        every(r"replaced_by: (\S+)").alias("replaced_by"), every(r"consider: (\S+)").alias("consider"), every(r"xref: UMLS:(C\d{7})\b").alias("umls_cuis"),
+        every(r"replaced_by: (\S+)").alias("replaced_by"), every(r"consider: (\S+)").alias("consider"), every(r"xref: UMLS:(C[0-9]{7})$").alias("umls_cuis"),
         F.transform(every(r'synonym: "((?:[^"\\]|\\.)*)"'), lambda v: F.replace(v, F.lit('\\"'), F.lit('"'))).alias("synonyms"), every(r"is_a: (\S+)").alias("parents"),
     )
     primary = terms.where("obsolete").select(F.col("id").alias("alternate"))
     alternates = terms.select(F.explode("alternate_ids").alias("alternate"), "id").join(primary, "alternate", "left_anti")
     names = terms.where("label is not null").select("id", F.explode(F.concat(F.array("label"), "synonyms")).alias("name"))
     edges = terms.select(F.explode("parents").alias("parent"), F.col("id").alias("child"))
-    return {"terms": terms, "alternates": alternates, "names": names, "edges": edges}
+    twice = terms.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(*issue("ontology", F.col("id"), "duplicate_id", F.col("n")))
+    xref = s.select(F.regexp_extract("stanza", r"(?m)^id: (\S+)", 1).alias("id"), F.explode(F.regexp_extract_all("stanza", F.lit(r"(?m)^xref: UMLS:(.*)$"), F.lit(1))).alias("value"))
+    good = F.col("value").rlike(r"^C[0-9]{7}\z")
+    # within one stanza: a repeated id has an issue of its own
+    same = s.select(F.regexp_extract("stanza", r"(?m)^id: (\S+)", 1).alias("id"), F.regexp_extract_all("stanza", F.lit(r"(?m)^xref: UMLS:(C[0-9]{7})$"), F.lit(1)).alias("v"))
+    same = same.select("id", F.explode(F.filter(F.array_distinct("v"), lambda c: F.size(F.filter("v", lambda o: o == c)) > 1)).alias("value"))
+    issues = twice.unionByName(same.select(*issue("ontology", F.col("id"), "duplicate_xref", F.col("value"))))
+    issues = issues.unionByName(xref.where(~good).select(*issue("ontology", F.col("id"), "malformed_xref", F.col("value"))))
+    return {"terms": terms, "alternates": alternates, "names": names, "edges": edges, "issues": issues}
 
 
 def html_text(html: Column) -> Column:

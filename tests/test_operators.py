@@ -312,6 +312,26 @@ def test_annotated_xml(spark):
     assert out["d"].error and out["u"].error == "unknown element Odd"
 
 
+def test_attributions(spark):
+    meta = '<x:METADATA docName="EN1" docAuthor="A | B" docDOI="10.1/x" docLicense="CC BY"/>'
+    files = {"good": meta, "none": "", "two": meta * 2, "unnamed": "<x:METADATA/>"}
+    rows = spark.createDataFrame([(k, f'<r xmlns:x="u"><p>{v}</p></r>'.encode()) for k, v in files.items()] + [("d", b"<!DOCTYPE x><r/>"), ("broken", b"<r>")], "path string, content binary")
+    out = {r.path: r for r in documents.attributions(rows).collect()}
+    assert tuple(out["good"]) == ("good", "EN1", "A | B", "10.1/x", "", "CC BY", None)
+    assert [out[k].error for k in ("none", "two", "unnamed")] == ["0 METADATA elements", "2 METADATA elements", "METADATA without docName"] and out["d"].error and out["broken"].error
+
+
+def test_ontology_issues(spark, onto, tmp_path):
+    assert onto["issues"].isEmpty()
+    term = lambda n, *lines: "\n".join(["", "[Term]", f"id: HP:000000{n}", f"name: n{n}", *lines, ""])
+    (tmp_path / "o.obo").write_text("format-version: 1.2\n" + term(1, "xref: UMLS:C0000001", "xref: UMLS:C0000001") + term(2, "xref: UMLS:C12", "xref: UMLS:C0000001", "xref: UMLS:C0000001 x") + term(3) + term(3))
+    got = documents.ontology(spark, str(tmp_path / "o.obo"))
+    assert {tuple(r)[1:] for r in got["issues"].collect()} == {
+        ("HP:0000001", "duplicate_xref", "C0000001"), ("HP:0000002", "malformed_xref", "C12"), ("HP:0000002", "malformed_xref", "C0000001 x"), ("HP:0000003", "duplicate_id", "2")
+    }
+    assert {r.id: r.umls_cuis for r in got["terms"].collect()}["HP:0000002"] == ["C0000001"]
+
+
 def test_strict_json_and_store(spark, tmp_path):
     rows = spark.createDataFrame([('{"a":1}',), ('{"a":1,"a":2}',), ("{",)], "t string")
     assert [r.x and r.x.a for r in rows.select(tables.strict_json(F.col("t"), "a int").alias("x")).collect()] == [1, None, None]
