@@ -2,18 +2,26 @@
 n-grams.
 
 The incidence matrix has a row for each distinct shingle set and a column for
-each shingle. Two rows whose Jaccard similarity reaches the threshold share a
-column among their first ``n - ceil(t n) + 1`` ones in any fixed order of the
-columns, so the product runs over that prefix block alone. Frequent columns
-come last in the order, by counts over the whole corpus. Column lists are
-sorted by column and row size, which spreads a long list over many partitions;
-what cannot reach the threshold by its sizes is discarded before any pair is
-made. Surviving pairs' blocks are completed with their whole rows.
-
-Groups of copies would fill a list with pairs. So the product runs in two
-turns: first each list's rows against a leader, a number of pairs linear in the
-list; then, in lists whose rows are not all in one component yet, the pairs of
-different components. No link that could change a component is left out.
+each shingle. It is cut into blocks of rows, and within a block the product of
+the rows with each other accumulates their overlaps; pairs below the bound that
+their sizes set are discarded, and the rest are links.
+
+*Blocks.* Rows of sizes n and m that link differ in at most
+``(n + m) (den - num) / (den + num)`` columns. So the columns are dealt into a
+few more parts than that, by hash: one part at least is the same in both rows.
+A row yields a key for each of its parts (cells of row sizes have their own
+numbers of parts, and a row near the end of a cell yields the keys of the next
+one too). Rows that share a key are joined to a block; every link lies in one.
+A part of one column says little, and a row yields such parts only where its
+other parts are too few for the bound. Keys are combined in the task that makes
+them, so a part that a third of all rows share leaves each task once.
+
+*Products.* Blocks of a bounded size are multiplied in one task. A larger one is
+cut into slices: each slice is multiplied by itself; the rows of most links in
+any slice are then multiplied with all slices; and rows outside the block's
+largest component at last with all slices, tile by tile. Rows that are already
+in one component need no product, so a group of near copies costs about one
+pass. No link that could change a component is left out.
 """
 
 from __future__ import annotations
@@ -21,27 +29,37 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm.common import bounded_batches, dropped, parts, written
 from annospark.llm.graph import components
 
-#: Columns in more than so many prefixes come last in the order, the most
-#: frequent FREQUENT_KEPT of them (8 bytes each are broadcast). Any such set
-#: gives the same result.
-FREQUENT, FREQUENT_KEPT = 12, 1_000_000
-#: Bits of the sieve for the rows that are in pairs, at most (8 MB).
+#: Factor from one cell of row sizes to the next.
+CELL_GROWTH = 1.6
+#: Columns that a part must hold to say much.
+TELLING = 2
+#: Keys that a task combines at once, and signatures whose keys it remembers to
+#: have sent (a forgotten one is sent again).
+KEYS_AT_ONCE, SIGNATURES_KEPT = 1 << 20, 200_000
+#: Bits of the sieve for the rows that are in blocks, at most (8 MB).
 SIEVE_BITS = 1 << 26
-#: Lists of more rows than LONG_LIST are turned against leaders while they hold
-#: more than PAIRS_A_ROW pairs for each row of all lists, LEADER_TURNS times at
-#: most; then all pairs of different components are made.
-LONG_LIST, LEADER_TURNS, PAIRS_A_ROW = 256, 4, 4
-#: A turn that links fewer than one in so many of its pairs is the last one.
-WORTHWHILE = 20
+#: Rows and bytes of hashes that are multiplied with each other at most.
+BLOCK_ROWS, BLOCK_BYTES = 3072, 24 << 20
+#: Rows of a block that are tried as its centre before the product, and those
+#: of most links that a slice names.
+CENTRES = 8
+#: Columns of up to so many rows add their pairs one by one; those of more rows
+#: are multiplied, so many at once.
+LIGHT, DENSE_COLUMNS = 16, 2048
+#: Kinds of rows in the table of keys: a key, an edge between rows of one block.
+#: All other values are a document's size, or -3 less it where the id is null.
+KEY, EDGE = -1, -2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -147,123 +165,163 @@ def _signature(hashes: np.ndarray) -> int:
     return int.from_bytes(blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _prefix_length(n: int, num: int, den: int) -> int:
-    return n + num * n // -den + 1  # n - ceil(num n / den) + 1
-
-
-def _prefixes(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """The columns of every document's prefix in hash order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column(0).to_pylist(), shingle)
-            first = [s[: _prefix_length(len(s), num, den)] for s in sets if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64))], ["token"])
-
-    return docs.select("text").mapInArrow(run, "token bigint")
-
-
-def _known(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n and sig of every document."""
+class Cells:
+    """Cells of row sizes, each with its number of parts."""
+
+    def __init__(self, num: int, den: int):
+        tops = [1]
+        while tops[-1] < 1 << 31:
+            tops.append(max(tops[-1] + 1, int(tops[-1] * CELL_GROWTH)))
+        self.num, self.den = num, den
+        self.tops = np.array(tops)
+        #: how many columns two rows of a cell may differ in and still link
+        self.differ = 2 * self.tops * (den - num) // (den + num)
+        self.parts = (self.differ + 3 + self.differ // 32).astype(np.uint64)
+
+    def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys, and for each the place of its row in ``sets``. Equal rows need
+        none; a row that links with no other than its equals yields none."""
+        n = np.array([len(s) for s in sets], np.int64)
+        first = np.searchsorted(self.tops, n)
+        last = np.searchsorted(self.tops, n * self.den // self.num)
+        keys, owners = [], []
+        for cell in range(int(first.min(initial=0)), int(last.max(initial=0)) + 1):
+            here = np.flatnonzero((first <= cell) & (cell <= last) & (n > 0))
+            if len(here) and self.differ[cell]:
+                k, o = self._cell_keys([sets[i] for i in here], cell)
+                keys.append(k)
+                owners.append(here[o])
+        if not keys:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.concatenate(keys), np.concatenate(owners)
+
+    def _cell_keys(self, sets: list[np.ndarray], cell: int) -> tuple[np.ndarray, np.ndarray]:
+        count, differ = self.parts[cell], self.differ[cell]
+        token = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        part = (token >> np.uint64(32)) * count >> np.uint64(32)  # ascending in each row, as its hashes are
+        new = np.ones(len(token), bool)
+        new[1:] = (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(token)))
+        mixed = token ^ token >> np.uint64(29)
+        mixed *= _MIX
+        total = np.add.reduceat(mixed ^ mixed >> np.uint64(32), start)
+        owner, part = owner[start], part[start]
+        telling = size >= TELLING
+        enough = np.bincount(owner, telling, len(sets)) > differ
+        keep = telling | ~enough[owner]
+        key, of = _part_keys(total, part, size, cell)[keep], owner[keep]
+        bare = np.flatnonzero(np.bincount(owner, minlength=len(sets)) <= differ)  # rows whose shared part may be an empty one
+        if len(bare):
+            empty = [np.setdiff1d(np.arange(count, dtype=np.uint64), part[owner == i]) for i in bare]
+            key = np.concatenate([key, *(_part_keys(np.zeros_like(e), e, np.zeros(len(e), np.int64), cell) for e in empty)])
+            of = np.concatenate([of, np.repeat(bare, [len(e) for e in empty])])
+        return key, of
+
+
+def _part_keys(total: np.ndarray, part: np.ndarray, size: np.ndarray, cell: int) -> np.ndarray:
+    out = (total ^ part * np.uint64(0xD6E8FEB86659FD93)) * _MIX + size.astype(np.uint64) + np.uint64(cell << 40)
+    out ^= out >> np.uint64(31)
+    out *= _MIX
+    return out ^ out >> np.uint64(29)
+
+
+def _united(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Components, as the smallest place in each, after linking places a and b;
+    ``root``: the components before."""
+    root = root.copy()
+    while True:
+        x, y = root[a], root[b]
+        differ = x != y
+        if not differ.any():
+            return root
+        a, b, x, y = a[differ], b[differ], x[differ], y[differ]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while ((then := root[root]) != root).any():
+            root = then
+
+
+def _combined(key: np.ndarray, owner: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One entry for each key of a task, and edges that join the rows which
+    share keys there: a, b, n."""
+    order = np.argsort(key, kind="stable")
+    key, owner = key[order], owner[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    again = np.flatnonzero(~first)
+    root = _united(np.arange(len(sig)), owner[again - 1], owner[again])
+    moved = np.flatnonzero(root != np.arange(len(sig)))
+    a = np.concatenate((key[first].view(np.int64), sig[moved]))
+    b = np.concatenate((sig[root[owner[first]]], sig[root[moved]]))
+    return a, b, np.repeat([KEY, EDGE], [len(a) - len(moved), len(moved)])
+
+
+_TRIPLE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+_TRIPLE_DDL = "a bigint, b bigint, n bigint"
+
+
+def _triples(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_TRIPLE)
+
+
+def _entries(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """a, b, n: keys (key, signature, KEY), edges (signature, signature, EDGE)
+    and documents (id, signature, size)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, sent, rows = Cells(num, den), set(), 0
+        keys, owners, sigs, held = [], [], [], 0
+        spread = TaskContext.get().partitionId() << 40
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(_signature, sets), pa.int64())], ["doc_id", "n", "sig"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, sig bigint")
-
-
-_ENTRY = pa.schema([("token", pa.int64()), ("n", pa.int32()), ("sig", pa.int64())])
-_ENTRY_DDL = "token bigint, n int, sig bigint"
-
-
-def _entries(docs: DataFrame, frequent: np.ndarray, shingle: int, num: int, den: int) -> DataFrame:
-    """The matrix's prefix block: (token, n, sig), frequent columns last."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(frequent))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = shared.value
-        for batch in batches:
-            tokens, n, sig = [], [], []
-            for s in shingle_sets(batch.column(0).to_pylist(), shingle):
-                if not len(s):
-                    continue
-                p, order = _prefix_length(len(s), num, den), s
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, s), len(last) - 1)
-                    late = last[at] == s
-                    if late.any():
-                        order = np.concatenate((s[~late], s[late]))
-                tokens.append(order[:p])
-                n.append(np.full(p, len(s), np.int32))
-                sig.append(np.full(p, _signature(s), np.int64))
-            if tokens:
-                columns = [np.concatenate(tokens).view(np.int64), *map(np.concatenate, (n, sig))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ENTRY)
-
-    return docs.select("text").mapInArrow(run, _ENTRY_DDL)
-
-
-def _shared_columns(num: int, den: int):
-    """From entries sorted by (token, n, sig): those of columns that more than
-    one row has, each with the leader of its stretch (the last row that was too
-    small for the leader before it). The first and last column of a partition
-    may go on in another and always stay."""
-    schema = pa.schema([*_ENTRY, ("lead", pa.int64()), ("lead_n", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None  # token; (token, n, sig)
-        lead = (0, 0)  # (n, sig)
-        held: list[pa.RecordBatch] = []  # the last row, while its column may have no other
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, n, sig = (batch.column(i).to_numpy() for i in range(3))
-            same = np.zeros(len(token), bool)
-            same[1:] = (token[1:] == token[:-1]) & (n[1:] == n[:-1]) & (sig[1:] == sig[:-1])
-            if last is not None:
-                same[0] = last == (token[0], n[0], sig[0])
-            batch = batch.filter(pa.array(~same))
-            if not batch.num_rows:
-                continue
-            token, n, sig = (batch.column(i).to_numpy() for i in range(3))
-            if first is None:
-                first = token[0]
-            new = np.ones(len(token), bool)
-            new[1:] = token[1:] != token[:-1]
-            goes_on = last is not None and last[0] == token[0]
-            if goes_on:
-                new[0] = False
-                if held:
-                    yield held.pop()
-            held.clear()
-            leads, sizes = np.empty(len(token), np.int64), np.array(n, np.int32)
-            start = np.flatnonzero(new)
-            alone = np.zeros(len(token), bool)
-            ends = np.append(start[1:], len(token))
-            alone[start[ends - start == 1]] = True
-            leads[start] = sig[start]
-            multi = np.flatnonzero(~alone)
-            for i in multi.tolist():
-                if new[i] or den * lead[0] < num * n[i]:
-                    lead = (int(n[i]), int(sig[i]))
-                sizes[i], leads[i] = lead
-            if alone[-1]:
-                lead = (int(n[-1]), int(sig[-1]))
-            last = (token[-1], n[-1], sig[-1])
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(leads), pa.array(sizes)], schema=schema)
-            stays = ~alone | (token == first)
-            open_end = alone[-1] and not stays[-1]
-            if open_end:
-                held.append(out.slice(len(token) - 1, 1))
-            if stays.any():
-                yield out.filter(pa.array(stays))
+            sig = np.fromiter(map(_signature, sets), np.int64, len(sets))
+            size = np.fromiter(map(len, sets), np.int64, len(sets))
+            null = np.asarray(batch.column(0).is_null())
+            # rows without an id are dealt out evenly
+            ids = np.where(null, spread + rows + np.arange(len(sets)), batch.column(0).fill_null(0).to_numpy())
+            rows += len(sets)
+            yield _triples(ids, sig, np.where(null, -3 - size, size))
+            if len(sent) > SIGNATURES_KEPT:
+                sent.clear()
+            fresh = []
+            for i, s in enumerate(sig.tolist()):
+                if s not in sent:
+                    sent.add(s)
+                    fresh.append(i)
+            key, owner = cells.keys([sets[i] for i in fresh])
+            keys.append(key)
+            owners.append(owner + sum(map(len, sigs)))
+            sigs.append(sig[fresh])
+            held += len(key)
+            if held >= KEYS_AT_ONCE:
+                yield _triples(*_combined(*map(np.concatenate, (keys, owners, sigs))))
+                keys, owners, sigs, held = [], [], [], 0
         if held:
-            yield held.pop()
-
-    return run, _ENTRY_DDL + ", lead bigint, lead_n int"
+            yield _triples(*_combined(*map(np.concatenate, (keys, owners, sigs))))
+
+    return docs.select("doc_id", "text").mapInArrow(run, _TRIPLE_DDL)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From entries sorted by ``a``: an edge for each key after its first
+    entry, and all that are no keys."""
+    last: tuple | None = None
+    for batch in batches:
+        a, b, n = (batch.column(i).to_numpy() for i in range(3))
+        other = n != KEY
+        key, sig = a[~other], b[~other]
+        x, y = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(key):
+            again = np.flatnonzero((key[1:] == key[:-1]) & (sig[1:] != sig[:-1]))
+            x, y = sig[again], sig[again + 1]
+            if last is not None and last[0] == key[0] and last[1] != sig[0]:
+                x, y = np.append(x, last[1]), np.append(y, sig[0])
+            last = key[-1], sig[-1]
+        if len(x):
+            x, y = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+        if len(x) or other.any():
+            yield _triples(np.concatenate((x, a[other])), np.concatenate((y, b[other])), np.concatenate((np.full(len(x), EDGE), n[other])))
 
 
 def _sieve(sigs: DataFrame) -> np.ndarray:
@@ -278,67 +336,197 @@ def _sieve(sigs: DataFrame) -> np.ndarray:
     return out
 
 
-def _needed(n: str, m: str, num: int, den: int) -> Column:
-    """How many columns of the block two rows of these sizes must share at
-    least. All shared columns up to the smaller of the two blocks' ends lie in
-    both blocks, and behind a block's end a row has ceil(t n) - 1 columns."""
-    up = lambda a, b: F.floor((a + (b - 1)) / b)
-    whole = up(num * (F.col(n) + F.col(m)).cast("bigint"), F.lit(num + den))
-    behind = up(num * F.greatest(n, m).cast("bigint"), F.lit(den)) - 1
-    return F.greatest(whole - behind, F.lit(1))
-
-
-def _likeliest(led: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b: each row with the leader that it shares most columns with, if these
-    are half of those needed or more. ``led``: sig, n, lead, lead_n, a row for
-    each column."""
-    shared = led.groupBy("sig", "n", "lead", "lead_n").agg(F.count("*").alias("shared"))
-    near = shared.where(2 * F.col("shared") >= _needed("n", "lead_n", num, den))
-    best = near.groupBy("sig").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead"))
-    return best.select(F.least("sig", "lead").alias("a"), F.greatest("sig", "lead").alias("b")).distinct()
-
-
-def _whole_rows(docs: DataFrame, pairs: DataFrame, shingle: int) -> tuple[DataFrame, str]:
-    """sig and the whole set of every signature in ``pairs``, written: the
-    texts are read again, and all but the wanted rows stay where they are."""
-    sigs = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(_sieve(sigs))
+def _whole_rows(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """sig and the whole set (its ascending hashes as bytes) of every signature
+    in ``wanted``, and of a few others: the texts are read again, and all but
+    the wanted rows stay where they are. A row of many copies leaves each task
+    about once."""
+    shared = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = shared.value
+        sieve, sent = shared.value, set()
         bits = len(sieve) * 64
         for batch in batches:
             sig, hashes = [], []
+            if len(sent) > SIGNATURES_KEPT:
+                sent.clear()
             for s in shingle_sets(batch.column(0).to_pylist(), shingle):
                 own = _signature(s)
                 place = own % bits
-                if len(s) and int(sieve[place >> 6]) >> (place & 63) & 1:
+                if len(s) and int(sieve[place >> 6]) >> (place & 63) & 1 and own not in sent:
+                    sent.add(own)
                     sig.append(own)
                     hashes.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(hashes, pa.binary())], ["sig", "hashes"])
 
     found = docs.select("text").mapInArrow(run, "sig bigint, hashes binary")
-    return written(found.groupBy("sig").agg(F.first("hashes").alias("hashes")), "whole-rows")
+    return found.groupBy("sig").agg(F.first("hashes").alias("hashes"))
+
+
+def _overlaps(owner: np.ndarray, column: np.ndarray, count: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """How many columns each of ``rows`` shares with each of the k rows of a
+    block. owner, column: the ones of the block, by column; count: the ones of
+    each column."""
+    out = np.zeros((len(rows), k), np.int32)
+    place = np.full(k, -1)
+    place[rows] = np.arange(len(rows))
+    light = count[column] <= (LIGHT if k > 4 * LIGHT else 0)
+    if light.any():
+        flat = out.reshape(-1)
+        of = owner[light]
+        sizes = count[column[light]]
+        for c in np.unique(sizes).tolist():
+            members = of[sizes == c].reshape(-1, c)
+            for i, j in combinations(range(c), 2):
+                for x, y in ((members[:, i], members[:, j]), (members[:, j], members[:, i])):
+                    at = place[x]
+                    np.add.at(flat, (at * k + y)[at >= 0], 1)
+    owner, column = owner[~light], column[~light]
+    if len(column):
+        column = np.cumsum(np.diff(column, prepend=column[0]) != 0)
+        edges = np.searchsorted(column, np.arange(0, column[-1] + 1 + DENSE_COLUMNS, DENSE_COLUMNS))
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            ones = np.zeros((k, min(DENSE_COLUMNS, int(column[-1] - column[lo]) + 1) if hi > lo else 0), "f4")
+            ones[owner[lo:hi], column[lo:hi] - column[lo]] = 1
+            for at in range(0, len(rows), 1024):
+                out[at : at + 1024] += (ones[rows[at : at + 1024]] @ ones.T).astype(np.int32)
+    return out
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b of the pairs whose similarity reaches the threshold."""
+def block_links(rows: list[np.ndarray], label: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Components of a block before and after its product, as the smallest place
+    in each, and the places of some rows of most links. Rows of one label are in
+    one component already. Where both sides are given, only pairs of a row of
+    either side count."""
+    k, n = len(rows), np.array([len(r) for r in rows], np.int64)
+    _, first, back = np.unique(label, return_index=True, return_inverse=True)
+    before = root = first[back]
+    links = lambda shared, x, y: den * shared >= num * (x + y - shared)
+    if k == 2:
+        x, y = sorted(rows, key=len)
+        shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+        if links(shared, *n.tolist()) and side[0] + side[1] != 2:
+            root = np.zeros(2, np.int64)
+        return before, root, [0]
+    two = bool(side.any())
+    token, owner = np.concatenate(rows), np.repeat(np.arange(k), n)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    new = np.ones(len(token), bool)
+    new[1:] = token[1:] != token[:-1]
+    column = np.cumsum(new) - 1
+    many = np.bincount(column)[column] > 1
+    owner, column = owner[many], column[many]
+    if not len(column):
+        return before, root, [0]
+    column = np.cumsum(np.diff(column, prepend=column[0]) != 0)
+    count = np.bincount(column)
+    degree = np.zeros(k, np.int64)
+    if k > CENTRES and not two:
+        # what shares most with the others first: all that link with it are one
+        # component and need no product with each other
+        weight = np.bincount(owner, count[column], k) / n
+        for _ in range(CENTRES):
+            centre = int(weight.argmax())
+            if weight[centre] <= 0:
+                break
+            has = np.zeros(len(count), bool)
+            has[column[owner == centre]] = True
+            shared = np.bincount(owner, has[column], k).astype(np.int64)
+            linked = np.flatnonzero(links(shared, n, n[centre]))
+            degree[centre] = len(linked)
+            root = _united(root, linked, np.full(len(linked), centre))
+            weight[root == root[centre]] = -1
+            weight[centre] = -1
+    sizes = np.bincount(root, minlength=k)
+    rest = np.flatnonzero(side == 1) if two else np.flatnonzero(root != sizes.argmax())
+    if len(rest):
+        shared = _overlaps(owner, column, count, rest, k).astype(np.int64)
+        good = links(shared, n[rest][:, None], n[None, :])
+        if two:
+            good &= side[None, :] == 0
+        degree[rest] = good.sum(1)
+        x, y = np.nonzero(good)
+        root = _united(root, rest[x], y)
+    return before, root, np.argsort(-degree, kind="stable")[:CENTRES].tolist()
+
+
+_BLOCK = ["block", "sig", "label", "side", "sliced", "hashes"]
+
+
+def _products(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b, n of the given blocks (``_BLOCK``): links that join their
+    components (n = EDGE), and some rows of most links of sliced blocks (a; n
+    = KEY)."""
+
+    def product(held: list[tuple]) -> pa.RecordBatch:
+        sig = np.array([h[0] for h in held], np.int64)
+        label, side = np.array([h[1] for h in held], np.int64), np.array([h[2] for h in held])
+        before, after, centres = block_links([h[4] for h in held], label, side, num, den)
+        moved = np.unique(before)
+        moved = moved[after[moved] != moved]
+        named = sig[centres if held[0][3] else []]
+        return _triples(np.concatenate((sig[moved], named)), np.concatenate((sig[after[moved]], named)), np.repeat([EDGE, KEY], [len(moved), len(named)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                shared = int((y[at] == x).sum())
-                linked.append(den * shared >= num * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    one = rows.select(F.col("sig").alias("a"), F.col("hashes").alias("x"))
-    two = rows.select(F.col("sig").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+            columns = [c.to_pylist() for c in batch.columns[:5]]
+            for block, sig, label, side, sliced, hashes in zip(*columns, batch.column(5)):
+                if block != now:
+                    if len(held) > 1:
+                        yield product(held)
+                    held, now = [], block
+                held.append((sig, label, side, sliced, np.frombuffer(hashes.as_buffer(), np.uint64)))
+        if len(held) > 1:
+            yield product(held)
+
+    dealt = rows.select(*_BLOCK).repartition(parts(rows.sparkSession), "block").sortWithinPartitions("block")
+    return dealt.mapInArrow(run, _TRIPLE_DDL)
+
+
+def _edges(triples: DataFrame) -> DataFrame:
+    return triples.where(F.col("n") == EDGE).select("a", "b").distinct()
+
+
+def _slices(rows: DataFrame) -> DataFrame:
+    """comp, slices: into how many slices a block of these rows (comp, n) is
+    cut."""
+    total = rows.groupBy("comp").agg(F.count("*").alias("rows"), (8 * F.sum("n")).alias("bytes"))
+    return total.select("comp", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).alias("slices"))
+
+
+def _block(*place: str | Column) -> Column:
+    return F.xxhash64(*place).alias("block")
+
+
+def _sliced_links(rows: DataFrame, firsts: DataFrame, num: int, den: int) -> DataFrame:
+    """The links of sliced blocks that no slice has in itself, as edges.
+    ``rows``: sig, n, comp, slices, slice, hashes; ``firsts``: what the products
+    of the slices gave."""
+    slices = rows.where("slices > 1")
+    centres = firsts.where(F.col("n") == KEY).select(F.col("a").alias("sig")).distinct()
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))
+    own = slices.select(_block("comp", "slice"), "sig", F.col("sig").alias("label"), F.lit(0).alias("side"), F.lit(False).alias("sliced"), "hashes")
+    others = slices.join(centres, "sig").withColumn("slice", each)
+    others = others.select(_block("comp", "slice"), "sig", F.col("sig").alias("label"), F.lit(1).alias("side"), F.lit(False).alias("sliced"), "hashes")
+    seconds, _ = written(_products(own.unionByName(others), num, den), "centre-links")
+
+    found = _edges(firsts).unionByName(_edges(seconds))
+    labels = components(found).select(F.col("node").alias("sig"), F.col("comp").alias("label"))
+    of = slices.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    of, of_at = written(of, "slices")
+    largest = of.groupBy("comp", "label").count().groupBy("comp").agg(F.max_by("label", "count").alias("largest"))
+    rest = of.join(largest, "comp").where("label <> largest").drop("largest")
+    chunks = _slices(rest).withColumnRenamed("slices", "chunks")
+    each_chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    own = of.join(chunks, "comp").withColumn("chunk", each_chunk)
+    own = own.select(_block("comp", "slice", "chunk"), "sig", "label", F.lit(0).alias("side"), F.lit(False).alias("sliced"), "hashes")
+    others = rest.join(chunks, "comp").withColumn("chunk", F.pmod(F.xxhash64("sig", F.lit(1)), F.col("chunks"))).withColumn("slice", each)
+    others = others.select(_block("comp", "slice", "chunk"), "sig", "label", F.lit(1).alias("side"), F.lit(False).alias("sliced"), "hashes")
+    thirds, _ = written(_products(own.unionByName(others), num, den), "tile-links")
+    dropped(rows.sparkSession, of_at)
+    return _edges(seconds).unionByName(_edges(thirds))
 
 
 def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -353,67 +541,31 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
     Null texts and those without words are empty sets, linked with nothing.
     Repeated rows give a row each; rows that share an id but not a text are
     taken by their texts. A null doc_id takes part in links and gets its
-    component's smallest id, null where no other member has one. Other columns are not read. An empty table gives an
-    empty result.
+    component's smallest id, null where no other member has one. Other columns
+    are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    known, _ = written(_known(docs, shingle), "documents")
-    counts = _prefixes(docs, shingle, num, den).groupBy("token").count().where(F.col("count") > FREQUENT)
-    counts, counts_at = written(counts, "frequent")
-    if counts.count() > FREQUENT_KEPT:
-        counts = counts.orderBy(F.desc("count"), "token").limit(FREQUENT_KEPT)
-    frequent = counts.select("token").toArrow().column("token").to_numpy().view(np.uint64)
-    dropped(spark, counts_at)
-
-    run, kind = _shared_columns(num, den)
-    dealt = _entries(docs, frequent, shingle, num, den).repartitionByRange(parts(spark), "token", "n", "sig").sortWithinPartitions("token", "n", "sig")
-    columns, _ = written(dealt.mapInArrow(run, kind), "columns")
-
-    led = columns.where("sig <> lead").select("sig", "n", "lead", "lead_n")
-    pairs, _ = written(_likeliest(led, num, den), "pairs")
-    links = None
-    for turn in range(LEADER_TURNS + 1):
-        whole, whole_at = _whole_rows(docs, pairs, shingle)
-        more, _ = written(_linked(pairs, whole, num, den), "links")
-        dropped(spark, whole_at)
-        links = more if links is None else links.unionByName(more)
-        labels = components(links)
-        of_row = columns.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("token", "n", "sig", F.coalesce("comp", "sig").alias("comp"))
-        of_row, of_row_at = written(of_row, "labelled-columns")
-        mixed = of_row.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").cast("double").alias("rows")).where("low < high")
-        mixed, _ = written(mixed, "mixed")
-        long = F.when(F.col("rows") > LONG_LIST, F.col("rows") * F.col("rows")).otherwise(0.0)
-        size = mixed.agg(F.sum("rows").alias("rows"), F.sum(long).alias("pairs")).first()
-        if not size.rows:
-            break
-        dull = turn > 0 and more.count() * WORTHWHILE < pairs.count()
-        if turn == LEADER_TURNS or dull or size.pairs <= 2 * PAIRS_A_ROW * size.rows:
-            left, left_at = written(of_row.join(mixed.select("token"), "token", "left_semi"), "mixed-columns")
-            # the last turn: all pairs of different components, with all the
-            # columns that they share in the block
-            x, y = (left.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("n", "sig", "comp"))) for k in "xy")
-            made = x.join(y, "token").where(
-                (F.col("sig_x") < F.col("sig_y")) & (F.col("comp_x") != F.col("comp_y")) & (den * F.least("n_x", "n_y") >= num * F.greatest("n_x", "n_y"))
-            )
-            shared = made.groupBy("sig_x", "sig_y", "n_x", "n_y").agg(F.count("*").alias("shared"))
-            pairs = shared.where(F.col("shared") >= _needed("n_x", "n_y", num, den)).select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"))
-            more, _ = written(pairs, "pairs")
-            dropped(spark, left_at, of_row_at)
-            if more.isEmpty():
-                break
-            links = links.unionByName(written(_linked(more, _whole_rows(docs, more, shingle)[0], num, den), "links")[0])
-            labels = components(links)
-            break
-        # another leader in each long list, from its lowest or highest component
-        left = of_row.join(mixed.where(F.col("rows") > LONG_LIST).select("token", "low", "high"), "token")
-        side = F.col("low") if turn % 2 == 0 else F.col("high")
-        leader = left.where(F.col("comp") == side).groupBy("token").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("by"), "sig", "n")).alias("lead"))
-        made = left.join(leader, "token").where((F.col("comp") != side) & (den * F.least("n", "lead.n") >= num * F.greatest("n", "lead.n")))
-        pairs = _likeliest(made.select("sig", "n", F.col("lead.sig").alias("lead"), F.col("lead.n").alias("lead_n")), num, den)
-        pairs, _ = written(pairs, "pairs")
-        dropped(spark, of_row_at)
+    dealt = _entries(docs, shingle, num, den).repartition(parts(spark), "a").sortWithinPartitions("a")
+    joined, _ = written(dealt.mapInArrow(_joined, _TRIPLE_DDL), "documents")
+    size = F.when(F.col("n") < EDGE, -3 - F.col("n")).otherwise(F.col("n"))
+    known = joined.where(F.col("n") != EDGE).select(F.when(F.col("n") >= 0, F.col("a")).alias("doc_id"), F.col("b").alias("sig"), size.alias("n"))
+
+    blocks = components(_edges(joined), "blocks")
+    sizes = known.groupBy("sig").agg(F.max("n").alias("n"))
+    in_block = sizes.join(blocks.withColumnRenamed("node", "sig"), "sig")
+    in_block, in_block_at = written(in_block, "block-rows")
+    in_block = in_block.join(_slices(in_block), "comp").withColumn("slice", F.pmod(F.xxhash64("sig"), F.col("slices")))
+    rows = in_block.join(_whole_rows(docs, in_block.select("sig"), shingle), "sig")
+    rows, rows_at = written(rows.select("sig", "n", "comp", "slices", "slice", "hashes"), "whole-rows")
+    own = rows.select(_block("comp", "slice"), "sig", F.col("sig").alias("label"), F.lit(0).alias("side"), (F.col("slices") > 1).alias("sliced"), "hashes")
+    firsts, _ = written(_products(own, num, den), "links")
+    links = _edges(firsts)
+    if not rows.where("slices > 1").isEmpty():
+        links = links.unionByName(_sliced_links(rows, firsts, num, den))
+    labels = components(links)
+    dropped(spark, rows_at, in_block_at)
 
     of_set = known.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     of_set = of_set.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))

@@ -1,8 +1,10 @@
 """Near copies, lines, benchmark passages and fingerprints, against brute force."""
 
 import hashlib
+import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,15 +41,57 @@ def near_copies(seed):
     return list(enumerate(docs))
 
 
-def test_ngram_join_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "FREQUENT", 3)
-    monkeypatch.setattr(ngram_join, "LONG_LIST", 4)
-    monkeypatch.setattr(ngram_join, "PAIRS_A_ROW", 0)
+@pytest.mark.parametrize("block_rows, keys", [(3072, 1 << 20), (7, 40)])
+def test_ngram_join_equals_brute_force(spark, monkeypatch, block_rows, keys):
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(ngram_join, "KEYS_AT_ONCE", keys)
     rows = near_copies(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_sets(docs_of(spark, rows)).collect()}
     assert got == ngram_join.brute_force(rows)
 
 
+@pytest.mark.parametrize("num, den", [(85, 100), (80, 100), (1, 2)])
+def test_rows_that_link_share_a_key_and_products_find_all(num, den):
+    rnd = np.random.default_rng(num)
+    cells = ngram_join.Cells(num, den)
+    for turn in range(60):
+        n = int(rnd.choice([2, 7, 20, 50, 200, 900]))
+        base, sets = rnd.integers(0, 1 << 64, n, np.uint64), []
+        for _ in range(12):
+            s = base[: rnd.integers(n * num // den, n + 1)].copy()
+            at = rnd.integers(0, n, rnd.integers(0, max(2, n // 8)))
+            at = at[at < len(s)]
+            s[at] = rnd.integers(0, 1 << 64, len(at), np.uint64)
+            sets.append(np.unique(s))
+        sets = [s for s in sets if len(s)]
+        key, owner = cells.keys(sets)
+        have = [set(key[owner == i].tolist()) for i in range(len(sets))]
+        links = []
+        for i, j in itertools.combinations(range(len(sets)), 2):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            if den * shared >= num * (len(sets[i]) + len(sets[j]) - shared):
+                links.append((i, j))
+                assert have[i] & have[j] or len(sets[i]) == len(sets[j]) == shared
+        everything = np.arange(len(sets))
+        wanted = ngram_join._united(everything, *np.array(links, np.int64).reshape(-1, 2).T)
+        _, got, _ = ngram_join.block_links(sets, everything, np.zeros(len(sets), np.int64), num, den)
+        assert got.tolist() == wanted.tolist()
+        half = everything % 2
+        _, got, _ = ngram_join.block_links(sets, everything, half, num, den)
+        across = [(i, j) for i, j in links if half[i] != half[j]]
+        assert got.tolist() == ngram_join._united(everything, *np.array(across, np.int64).reshape(-1, 2).T).tolist()
+
+
+def test_products_of_many_rows_count_light_and_heavy_columns():
+    rnd = np.random.default_rng(1)
+    core = rnd.integers(0, 1 << 64, 30, np.uint64)
+    sets = [np.unique(np.concatenate((rnd.choice(core, rnd.integers(20, 31), False), rnd.integers(0, 40, 3).astype(np.uint64) + np.uint64(i // 3 * 50)))) for i in range(150)]
+    links = [(i, j) for i, j in itertools.combinations(range(150), 2) if 100 * (s := len(np.intersect1d(sets[i], sets[j]))) >= 85 * (len(sets[i]) + len(sets[j]) - s)]
+    everything = np.arange(150)
+    _, got, _ = ngram_join.block_links(sets, everything, np.zeros(150, np.int64), 85, 100)
+    assert got.tolist() == ngram_join._united(everything, *np.array(links).T).tolist() and 1 < len(set(got.tolist())) < 150
+
+
 def test_ngram_join_edge_rows(spark):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (None, "a b c d e"), (7, None), (None, "q r s t u v")]
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id) for r in ngram_join.similar_sets(docs_of(spark, rows)).collect())
