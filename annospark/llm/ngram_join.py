@@ -7,14 +7,15 @@ the rows with each other accumulates their overlaps; pairs below the bound that
 their sizes set are discarded, and the rest are links.
 
 *Blocks.* Rows of sizes n and m that link differ in at most
-``(n + m) (den - num) / (den + num)`` columns. So the columns are dealt into a
-few more parts than that, by hash: one part at least is the same in both rows.
-A row yields a key for each of its parts (cells of row sizes have their own
-numbers of parts, and a row near the end of a cell yields the keys of the next
-one too). Rows that share a key are joined to a block; every link lies in one.
-A part of one column says little, and a row yields such parts only where its
-other parts are too few for the bound. Keys are combined in the task that makes
-them, so a part that a third of all rows share leaves each task once.
+``d = (n + m) (den - num) / (den + num)`` columns. The columns are dealt by hash
+into half as many parts again, so all but d parts are the same in both rows.
+In any fixed order of the parts both rows share one of their first d + 1, and
+these are a row's keys. Parts come first that hold a rare column, and many of
+them; those of frequent columns alone say little and come last, by counts over
+the whole corpus. (Cells of row sizes have their own numbers of parts, and a row
+near the end of a cell has the keys of the next one too.) Rows that share a key
+are joined to a block; every link lies in one. Keys are combined in the task
+that makes them, so a part that a third of all rows share leaves each task once.
 
 *Products.* Blocks of a bounded size are multiplied in one task. A larger one is
 cut into slices: each slice is multiplied by itself; the rows of most links in
@@ -42,8 +43,11 @@ from annospark.llm.graph import components
 
 #: Factor from one cell of row sizes to the next.
 CELL_GROWTH = 1.6
-#: Columns that a part must hold to say much.
-TELLING = 2
+#: Columns of at least so many rows count as frequent, and so many of the most
+#: frequent ones are known to all tasks (12 bytes each). Columns are counted in
+#: stretches of so many ones; in each, what has fewer rows than LEAST_COUNT is
+#: left out. Any such table gives the same links.
+FREQUENT, FREQUENT_KEPT, STRETCH, LEAST_COUNT = 32, 1_000_000, 1 << 21, 3
 #: Keys that a task combines at once, and signatures whose keys it remembers to
 #: have sent (a forgotten one is sent again).
 KEYS_AT_ONCE, SIGNATURES_KEPT = 1 << 20, 200_000
@@ -166,9 +170,11 @@ def _signature(hashes: np.ndarray) -> int:
 
 
 class Cells:
-    """Cells of row sizes, each with its number of parts."""
+    """Cells of row sizes, each with its number of parts. ``frequent``: frequent
+    columns, ascending, and their counts."""
 
-    def __init__(self, num: int, den: int):
+    def __init__(self, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None):
+        self.frequent = frequent if frequent and len(frequent[0]) else None
         tops = [1]
         while tops[-1] < 1 << 31:
             tops.append(max(tops[-1] + 1, int(tops[-1] * CELL_GROWTH)))
@@ -176,27 +182,36 @@ class Cells:
         self.tops = np.array(tops)
         #: how many columns two rows of a cell may differ in and still link
         self.differ = 2 * self.tops * (den - num) // (den + num)
-        self.parts = (self.differ + 3 + self.differ // 32).astype(np.uint64)
+        self.parts = (self.differ + 2 + self.differ // 2).astype(np.uint64)
 
     def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Keys, and for each the place of its row in ``sets``. Equal rows need
         none; a row that links with no other than its equals yields none."""
         n = np.array([len(s) for s in sets], np.int64)
+        counts = [self._counts(s) for s in sets]
         first = np.searchsorted(self.tops, n)
         last = np.searchsorted(self.tops, n * self.den // self.num)
         keys, owners = [], []
         for cell in range(int(first.min(initial=0)), int(last.max(initial=0)) + 1):
             here = np.flatnonzero((first <= cell) & (cell <= last) & (n > 0))
             if len(here) and self.differ[cell]:
-                k, o = self._cell_keys([sets[i] for i in here], cell)
+                k, o = self._cell_keys([sets[i] for i in here], [counts[i] for i in here], cell)
                 keys.append(k)
                 owners.append(here[o])
         if not keys:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         return np.concatenate(keys), np.concatenate(owners)
 
-    def _cell_keys(self, sets: list[np.ndarray], cell: int) -> tuple[np.ndarray, np.ndarray]:
-        count, differ = self.parts[cell], self.differ[cell]
+    def _counts(self, row: np.ndarray) -> np.ndarray:
+        """The counts of a row's frequent columns, 0 for the others."""
+        if self.frequent is None:
+            return np.zeros(len(row), np.int32)
+        column, count = self.frequent
+        at = np.minimum(np.searchsorted(column, row), len(column) - 1)
+        return np.where(column[at] == row, count[at], np.int32(0))
+
+    def _cell_keys(self, sets: list[np.ndarray], counts: list[np.ndarray], cell: int) -> tuple[np.ndarray, np.ndarray]:
+        count, differ = self.parts[cell], int(self.differ[cell])
         token = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         part = (token >> np.uint64(32)) * count >> np.uint64(32)  # ascending in each row, as its hashes are
@@ -207,17 +222,22 @@ class Cells:
         mixed = token ^ token >> np.uint64(29)
         mixed *= _MIX
         total = np.add.reduceat(mixed ^ mixed >> np.uint64(32), start)
+        often = np.concatenate(counts)
+        least, rare = np.minimum.reduceat(often, start), np.add.reduceat((often == 0).astype(np.int64), start)
         owner, part = owner[start], part[start]
-        telling = size >= TELLING
-        enough = np.bincount(owner, telling, len(sets)) > differ
-        keep = telling | ~enough[owner]
-        key, of = _part_keys(total, part, size, cell)[keep], owner[keep]
-        bare = np.flatnonzero(np.bincount(owner, minlength=len(sets)) <= differ)  # rows whose shared part may be an empty one
+        key = _part_keys(total, part, size, cell)
+        order = np.lexsort((key, -np.where(rare, rare, size), least, owner))
+        owner, key = owner[order], key[order]
+        filled = np.bincount(owner, minlength=len(sets))
+        keep = np.arange(len(owner)) - (np.cumsum(filled) - filled)[owner] <= differ
+        owner, key = owner[keep], key[keep]
+        bare = np.flatnonzero(filled <= differ)  # rows whose shared part may be an empty one
         if len(bare):
-            empty = [np.setdiff1d(np.arange(count, dtype=np.uint64), part[owner == i]) for i in bare]
+            ends = np.cumsum(filled)
+            empty = [np.setdiff1d(np.arange(count, dtype=np.uint64), part[ends[i] - filled[i] : ends[i]]) for i in bare]
             key = np.concatenate([key, *(_part_keys(np.zeros_like(e), e, np.zeros(len(e), np.int64), cell) for e in empty)])
-            of = np.concatenate([of, np.repeat(bare, [len(e) for e in empty])])
-        return key, of
+            owner = np.concatenate([owner, np.repeat(bare, [len(e) for e in empty])])
+        return key, owner
 
 
 def _part_keys(total: np.ndarray, part: np.ndarray, size: np.ndarray, cell: int) -> np.ndarray:
@@ -265,12 +285,55 @@ def _triples(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_TRIPLE)
 
 
+def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent columns, ascending, and their counts. Copies count
+    about once in each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent, held, size = set(), [], 0
+
+        def counted() -> pa.RecordBatch:
+            column, count = np.unique(np.concatenate(held), return_counts=True)
+            keep = count >= LEAST_COUNT
+            return pa.RecordBatch.from_arrays([pa.array(column[keep].view(np.int64)), pa.array(count[keep])], ["token", "count"])
+
+        for batch in batches:
+            if len(sent) > SIGNATURES_KEPT:
+                sent.clear()
+            for s in shingle_sets(batch.column(0).to_pylist(), shingle):
+                own = _signature(s)
+                if own not in sent:
+                    sent.add(own)
+                    held.append(s)
+                    size += len(s)
+            if size >= STRETCH:
+                yield counted()
+                held, size = [], 0
+        if held:
+            yield counted()
+
+    counts = docs.select("text").mapInArrow(run, "token bigint, count bigint").groupBy("token").agg(F.sum("count").alias("count"))
+    often, often_at = written(counts.where(F.col("count") >= FREQUENT).withColumn("step", F.floor(8 * F.log2("count"))), "frequent")
+    kept, least = 0, 1 << 20  # whole steps of counts, from the highest down
+    for r in sorted(often.groupBy("step").agg(F.count("*").alias("columns")).collect(), reverse=True):
+        if (kept := kept + r.columns) > FREQUENT_KEPT:
+            break
+        least = r.step
+    often = often.where(F.col("step") >= least).toArrow()
+    dropped(docs.sparkSession, often_at)
+    column = often.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(column)
+    return column[order], np.minimum(often.column("count").to_numpy(), 1 << 30).astype(np.int32)[order]
+
+
 def _entries(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     """a, b, n: keys (key, signature, KEY), edges (signature, signature, EDGE)
     and documents (id, signature, size)."""
 
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, shingle))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, sent, rows = Cells(num, den), set(), 0
+        cells, sent, rows = Cells(num, den, shared.value), set(), 0
         keys, owners, sigs, held = [], [], [], 0
         spread = TaskContext.get().partitionId() << 40
         for batch in batches:
