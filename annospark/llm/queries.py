@@ -128,9 +128,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = remainder(F.col("doc_id"), 4)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.ToxicityModel().fit(toxicity.training_rows(docs.where(part != 2), labels.where(part != 2)))
-    out = toxicity.score_toxicity(docs, model)
+    out = toxicity.score_toxicity(docs, model, lang="lang")
     return out.select(
-        "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+        "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged"
     )
 
 

@@ -1,12 +1,13 @@
 """Toxicity by a convolutional network over hashed word embeddings.
 
-A word's embedding is the sum of three rows, by the hashes of the word, its
-first and its last letters, so that inflected and compounded forms of a word
+A word's embedding is the sum of rows by the hashes of the word and of its first
+three, four and six letters, so that inflected and compounded forms of a word
 are known by its stem, and a word which shares one row with a marked word is
-still told from it. Filters of several widths, max pooling and a sigmoid follow. Long texts are cut into
-overlapping windows of words whose filter responses are pooled. Scores are
-calibrated on documents kept out of the fitting, and each language gets the
-threshold that suits it best there.
+still told from it. Filters of several widths, max pooling and a sigmoid follow.
+Long texts are cut into overlapping windows of words whose filter responses are
+pooled. Rare languages weigh more in training. Scores are calibrated on documents
+kept out of the fitting, and each language gets the threshold that suits it best
+there.
 """
 
 from __future__ import annotations
@@ -30,34 +31,39 @@ TRAINING_DOCS = 12_000
 TRAINING_CHARS = 40_000_000
 #: Words of a training step, about; longer texts make smaller batches.
 STEP_WORDS, LEAST_BATCH = 1 << 17, 8
-#: Rows of each embedding table; words of a window.
-BITS = 17
-ROWS = 1 << BITS
-AFFIX = 4
+#: Letters that a part of a word has (0: all), and the bits of its table.
+PARTS = ((0, 17), (3, 13), (4, 15), (6, 17))
+ROWS = [1 << bits for _, bits in PARTS]
+#: Words of a window.
 WINDOW = 256
-WIDTHS, FILTERS, DIM = (1, 2, 3), 8, 8
+WIDTHS, FILTERS, DIM = (1, 2, 3), 16, 8
 OVERLAP = max(WIDTHS) - 1
-REMEMBERED = 500_000
+#: Words whose rows a worker remembers at most while it scores.
+REMEMBERED = 100_000
 
 _WORD = re.compile(r"[^\W_]+")
 
 
 class WordRows(dict):
-    """The table rows of a word, of its first and of its last four letters, in
-    one number; row 0 pads."""
+    """The table rows of a word's parts, in one number; row 0 pads."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
         out = 0
-        for mark, part in ((1, word), (2, word[:AFFIX]), (3, word[-AFFIX:])):
-            out = out << BITS | crc32(part.encode(), mark) % (ROWS - 1) + 1
+        for i, (letters, bits) in enumerate(PARTS):
+            part = word[:letters] if letters else word
+            out = out << bits | crc32(part.encode(), i + 1) % ((1 << bits) - 1) + 1
         self[word] = out
         return out
 
 
 def _inputs(x: np.ndarray) -> list[np.ndarray]:
-    return [x >> 2 * BITS, x >> BITS & ROWS - 1, x & ROWS - 1]
+    out = []
+    for _, bits in reversed(PARTS):
+        out.append(x & (1 << bits) - 1)
+        x = x >> bits
+    return out[::-1]
 
 
 _rows = WordRows()
@@ -98,18 +104,20 @@ class ToxicityModel:
         self.prior = float(y.mean()) if len(y) else 0.0
         aside = np.arange(len(y)) % 5 == 0
         fit_on = np.flatnonzero(~aside)
+        langs = np.array([lang or "" for _, _, lang in labelled])
         if not len(fit_on) or y[fit_on].min() == y[fit_on].max():
             return self
-        self.net = ConvNet([ROWS] * 3, DIM, WIDTHS, FILTERS, 1, self.seed)
+        self.net = ConvNet(ROWS, DIM, WIDTHS, FILTERS, 1, self.seed)
         rnd = np.random.default_rng(self.seed)
         one, none = fit_on[y[fit_on] == 1], fit_on[y[fit_on] == 0]
-        # whole texts, half of them toxic
+        share_one, share_none = _even(langs[one]), _even(langs[none])
+        # whole texts, half of them toxic, rare languages more often
         size = np.array([len(t) for t in texts])
         words = (size[one].mean() + size[none].mean()) / 2
         batch = int(min(batch, max(LEAST_BATCH, STEP_WORDS / max(1, words))))
 
         def draw(_: int):
-            pick = np.concatenate([rnd.choice(one, batch // 2), rnd.choice(none, batch // 2)])
+            pick = np.concatenate([rnd.choice(one, batch // 2, p=share_one), rnd.choice(none, batch // 2, p=share_none)])
             x, owner = _windows([texts[k] for k in pick])
             rows = _inputs(x)
             for r in rows:  # no part of a word may be relied on alone
@@ -121,8 +129,8 @@ class ToxicityModel:
         for _ in range(rounds):
             self.net.train(draw, steps, rate=0.004, decay=1e-4)
             raw = self._raw(held)
-            # both classes weigh the same, as in the draws
-            loss = sum(np.logaddexp(0, sign * raw[wanted == v]).mean() for v, sign in ((1, -1), (0, 1)) if (wanted == v).any())
+            # classes and languages weigh as in the draws
+            loss = sum((np.logaddexp(0, sign * raw[wanted == v]) * _even(langs[aside][wanted == v])).sum() for v, sign in ((1, -1), (0, 1)) if (wanted == v).any())
             if loss < least:
                 least, best, worse = loss, copy.deepcopy(self.net), 0
             elif (worse := worse + 1) == 3:
@@ -145,13 +153,24 @@ class ToxicityModel:
         if not len(y) or y.min() == y.max():
             return
         target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+        middle, spread = float(raw.mean()), float(raw.std()) or 1.0
+        x = np.stack([(raw - middle) / spread, np.ones_like(raw)], 1)
         w = np.array([1.0, 0.0])
-        x = np.stack([raw, np.ones_like(raw)], 1)
+
+        def loss(w: np.ndarray) -> float:
+            z = x @ w
+            return float((np.logaddexp(0, z) - target * z).sum() + 0.5e-3 * w @ w)
+
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-            w -= np.linalg.solve(hess, x.T @ (p - target) + 1e-3 * (w - [1.0, 0.0]))
-        self.scale, self.shift = float(max(w[0], 1e-3)), float(w[1])
+            step = np.linalg.solve(hess, x.T @ (p - target) + 1e-3 * w)
+            size = 1.0  # where classes part cleanly, whole steps can overshoot
+            while size > 1e-6 and loss(w - size * step) > loss(w):
+                size /= 2
+            w = w - size * step
+        self.scale = max(float(w[0]) / spread, 1e-3)
+        self.shift = float(w[1]) - self.scale * middle
         score = 1 / (1 + np.exp(-np.clip(self.scale * raw + self.shift, -30, 30)))
         for lang in sorted({v for v in langs if v is not None}):
             own = np.array([v == lang for v in langs])
@@ -169,20 +188,35 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.scale * raw + self.shift, -30, 30)))
 
 
+def _even(langs: np.ndarray) -> np.ndarray:
+    """Weights of documents, 1 in all: half of it alike for each document, half
+    alike for each language."""
+    _, back, count = np.unique(langs, return_inverse=True, return_counts=True)
+    return 0.5 / count[back] / max(1, len(count)) + 0.5 / max(1, len(langs))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, chars: int = TRAINING_CHARS) -> list[tuple[str, int, str | None]]:
-    """(text, toxic, lang) of at most ``most`` labelled documents and about
-    ``chars`` characters, half of each for either class where there is so much.
-    Documents are taken by hash alone, whatever their length, and whole.
-    ``docs``: doc_id, text, lang; ``labels``: doc_id, toxic. Only ids and lengths
-    are shuffled; the texts that are drawn are found by a broadcast of their ids.
+    """(text, toxic, lang) of at most ``most`` labelled documents, half of them
+    for either class where there are so many, and of those as many as have
+    ``chars`` characters together. Documents are taken by hash alone, whatever
+    their length, and whole. ``docs``: doc_id, text, lang; ``labels``: doc_id,
+    toxic. Ids are drawn from the labels first; only the drawn documents' sizes
+    and then texts leave the tasks.
     """
-    sizes = docs.where("text is not null").select("doc_id", F.length("text").cast("long").alias("size"))
-    sizes = sizes.join(labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct(), "doc_id")
-    counts = sizes.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).collect()
+    marked = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
+    counts = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("toxicity")), 11) / F.lit(float(1 << 53))
-    share = {r.toxic: min(0.45 * most / r.n if r.n > most / 2 else 1.0, 0.45 * chars / r.chars if r.chars > chars / 2 else 1.0) for r in counts}
-    some = sizes.where(draw < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))).select("doc_id", "toxic").distinct()
-    rows = docs.where("text is not null").join(F.broadcast(some), "doc_id").select("text", "toxic", "lang").collect()
+    share = {y: 0.45 * most / n if n > most / 2 else 1.0 for y, n in counts.items()}
+    some = marked.where(draw < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)))
+    drawn = docs.where("text is not null").join(F.broadcast(some), "doc_id")
+    sizes = drawn.select("doc_id", "toxic", draw.alias("draw"), F.length("text").alias("size")).collect()
+    total = {y: sum(r["size"] for r in sizes if r.toxic == y) for y in (0, 1)}
+    kept = {
+        (r.doc_id, r.toxic) for r in sizes
+        if total[r.toxic] <= chars / 2 or r.draw < share[r.toxic] * 0.45 * chars / total[r.toxic]
+    }
+    chosen = docs.sparkSession.createDataFrame(sorted(kept), some.schema)
+    rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "lang").collect()
     return [(r.text, r.toxic, r.lang) for r in rows]
 
 

@@ -140,6 +140,35 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity.ToxicityModel().fit([]).score(["x"]).tolist() == [0.0]
 
 
+def test_calibration_of_classes_that_part_cleanly():
+    for middle, spread in ((0, 1), (40, 0.1), (-3, 20)):
+        model = toxicity.ToxicityModel()
+        y = np.arange(400) % 5 == 0
+        raw = middle + spread * np.where(y, 5, -5) + spread * np.linspace(0, 1, 400)
+        model._calibrate(raw, y.astype(float), ["en"] * 400)
+        score = 1 / (1 + np.exp(-(model.scale * raw + model.shift)))
+        assert (score[y] > 0.9).all() and (score[~y] < 0.1).all()
+
+
+def test_toxicity_query_on_held_out_documents(spark):
+    import os
+
+    import __spark_entry__ as entry
+
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("the driver's tables are not here")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    out = entry.queries()["op8_toxicity"](spark, folder)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted", "flagged"]
+    rows = out.where("held_out").join(docs.select("doc_id", "lang"), "doc_id").join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    assert rows and all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    for lang in ("en", "de", "fr", "es"):
+        toxic = [r.predicted for r in rows if r.lang == lang and r.toxic]
+        clean = [r.predicted for r in rows if r.lang == lang and not r.toxic]
+        assert sum(toxic) >= 0.7 * len(toxic) and sum(clean) <= 0.05 * len(clean)
+
+
 def test_toxicity_learns_from_long_texts_alone(spark):
     rnd = random.Random(5)
     plain = [f"{a}{b}" for a in "bcdfgh" for b in ("at", "ol", "im", "und", "ers")]
