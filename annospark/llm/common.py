@@ -3,10 +3,13 @@ written intermediate tables and the crc32 split of labelled rows."""
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,11 +35,37 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def lean(run: Callable[[Iterator], Iterator], *caches: dict) -> Callable[[Iterator], Iterator]:
+    """``run``, after which a worker gives back what it holds: workers outlive
+    their tasks and share the executor's memory with what comes next."""
+
+    def bounded(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back(*caches)
+
+    return bounded
+
+
+def give_back(*caches: dict) -> None:
+    """Empties ``caches`` and returns free memory to the system."""
+    for cache in caches:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or
-    a temporary one where nothing is set (a single machine, as in tests)."""
+    a temporary one where nothing is set and all runs in one process (as in
+    tests). On a cluster it must be set."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         there = "file://" + tempfile.mkdtemp(prefix="annospark-")
         spark.conf.set("spark.checkpoint.dir", there)
     return there

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches
+from annospark.llm.common import bounded_batches, dropped, written
 
 #: Words of benchmark text in one broadcast block (some 100 bytes for each).
 BLOCK_WORDS = 2_000_000
@@ -164,8 +164,12 @@ def find_contamination(
         ("spans", pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))),
         ("items", pa.list_(pa.string())),
     ])
-    out = docs.select(F.struct("*").alias("row"))
+    out, earlier = docs.select(F.struct("*").alias("row")), []
     for i, block in enumerate(_blocks(benchmark, item_id, item_text, block_words)):
+        if i:  # one block in a task at a time
+            out, at = written(out, "found")
+            dropped(spark, *earlier)
+            earlier = [at]
         scan = F.arrow_udf(_scanner(spark.sparkContext.broadcast(Windows(block, width)), arrow_kind), kind)
         before = F.col("found") if i else F.lit(None).cast(kind)
         out = out.withColumn("found", scan(F.col("row")[text], before))

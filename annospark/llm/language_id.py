@@ -26,7 +26,12 @@ WINDOW = 512
 WIDTHS, FILTERS, DIM = (3, 5), 12, 8
 OVERLAP = max(WIDTHS) - 1
 
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a letter; digits of other forms (½, ², ①) are none."""
+    return bool(text) and any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text))
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,7 +65,7 @@ class LanguageModel:
     def fit(self, labelled: list[tuple[str, str]], steps: int = 900, batch: int = 96) -> LanguageModel:
         by: dict[str, list[bytes]] = {}
         for text, lang in sorted(labelled):
-            if _LETTER.search(text or ""):
+            if has_letter(text):
                 by.setdefault(lang, []).append(text.encode()[: 4 * WINDOW])
         self.langs = sorted(by)
         if len(self.langs) < 2:
@@ -88,7 +93,7 @@ class LanguageModel:
         """The likeliest language of each text and its probability; ``und`` and
         0 without a letter, or without anything learned."""
         lang, score = ["und"] * len(texts), [0.0] * len(texts)
-        some = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        some = [i for i, t in enumerate(texts) if has_letter(t)]
         if not some or not self.langs:
             return lang, score
         if self.net is None:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches, dropped, parts, written
+from annospark.llm.common import bounded_batches, dropped, lean, parts, written
 
 #: What a key loses at both ends.
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -100,9 +100,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     the documents that lose lines. ``docs``: doc_id bigint, row bigint, text
     string without nulls."""
     spark = docs.sparkSession
-    lines, lines_at = written(docs.mapInArrow(_keys(min_chars), _ddl(_LINES)), "lines")
+    lines, lines_at = written(docs.mapInArrow(lean(_keys(min_chars)), _ddl(_LINES)), "lines")
     dealt = lines.repartitionByRange(parts(spark), "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "row", "pos")
-    found, _ = written(dealt.mapInArrow(_later_copies, _ddl(_FOUND)), "later-copies")
+    found, _ = written(dealt.mapInArrow(lean(_later_copies), _ddl(_FOUND)), "later-copies")
     dropped(spark, lines_at)
     # one row for each partition
     edges = found.where(F.col("kind") == EDGE).select("part", "h1", "h2", "last1", "last2").orderBy("part").collect()
@@ -158,7 +158,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", t
                 ["doc_id", "row", "n_lines", "n_dropped", "bitmap"],
             )
 
-    return heads.join(lost, ["doc_id", "row"], "left").mapInArrow(run, "doc_id bigint, row bigint, n_lines bigint, n_dropped bigint, bitmap binary")
+    return heads.join(lost, ["doc_id", "row"], "left").mapInArrow(lean(run), "doc_id bigint, row bigint, n_lines bigint, n_dropped bigint, bitmap binary")
 
 
 def kept_text(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -179,7 +179,7 @@ def kept_text(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text:
                 ["doc_id", "row", "n_lines", "n_dropped", "kept"],
             )
 
-    return given.join(some, ["doc_id", "row"], "left").mapInArrow(run, "doc_id bigint, row bigint, n_lines bigint, n_dropped bigint, kept string")
+    return given.join(some, ["doc_id", "row"], "left").mapInArrow(lean(run), "doc_id bigint, row bigint, n_lines bigint, n_dropped bigint, kept string")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches, dropped, parts, written
+from annospark.llm.common import bounded_batches, dropped, lean, parts, written
 from annospark.llm.graph import components
 
 #: Factor from one cell of row sizes to the next.
@@ -312,7 +312,7 @@ def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield counted()
 
-    counts = docs.select("text").mapInArrow(run, "token bigint, count bigint").groupBy("token").agg(F.sum("count").alias("count"))
+    counts = docs.select("text").mapInArrow(lean(run), "token bigint, count bigint").groupBy("token").agg(F.sum("count").alias("count"))
     often, often_at = written(counts.where(F.col("count") >= FREQUENT).withColumn("step", F.floor(8 * F.log2("count"))), "frequent")
     kept, least = 0, 1 << 20  # whole steps of counts, from the highest down
     for r in sorted(often.groupBy("step").agg(F.count("*").alias("columns")).collect(), reverse=True):
@@ -363,7 +363,7 @@ def _entries(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
         if held:
             yield _triples(*_combined(*map(np.concatenate, (keys, owners, sigs))))
 
-    return docs.select("doc_id", "text").mapInArrow(run, _TRIPLE_DDL)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), _TRIPLE_DDL)
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +422,7 @@ def _whole_rows(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     hashes.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(hashes, pa.binary())], ["sig", "hashes"])
 
-    found = docs.select("text").mapInArrow(run, "sig bigint, hashes binary")
+    found = docs.select("text").mapInArrow(lean(run), "sig bigint, hashes binary")
     return found.groupBy("sig").agg(F.first("hashes").alias("hashes"))
 
 
@@ -545,7 +545,7 @@ def _products(rows: DataFrame, num: int, den: int) -> DataFrame:
             yield product(held)
 
     dealt = rows.select(*_BLOCK).repartition(parts(rows.sparkSession), "block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, _TRIPLE_DDL)
+    return dealt.mapInArrow(lean(run), _TRIPLE_DDL)
 
 
 def _edges(triples: DataFrame) -> DataFrame:
@@ -611,7 +611,7 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
     bounded_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     dealt = _entries(docs, shingle, num, den).repartition(parts(spark), "a").sortWithinPartitions("a")
-    joined, _ = written(dealt.mapInArrow(_joined, _TRIPLE_DDL), "documents")
+    joined, _ = written(dealt.mapInArrow(lean(_joined), _TRIPLE_DDL), "documents")
     size = F.when(F.col("n") < EDGE, -3 - F.col("n")).otherwise(F.col("n"))
     known = joined.where(F.col("n") != EDGE).select(F.when(F.col("n") >= 0, F.col("a")).alias("doc_id"), F.col("b").alias("sig"), size.alias("n"))
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from collections import deque
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 from zlib import crc32
 
@@ -26,10 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches
+from annospark.llm.common import bounded_batches, lean
 
-#: Parts whose ids a worker remembers at most; beyond it starts anew.
-REMEMBERED = 800_000
+#: Parts (of fewer than 64 characters) whose ids a task remembers at most, some
+#: 100 MB; beyond it starts anew.
+REMEMBERED = 600_000
 #: Tokens after which a shard is closed (at the end of a document).
 SHARD_TOKENS = 1_000_000
 #: Penalties, in tokens of padding: a cut at a sentence end, and one inside a
@@ -53,16 +55,21 @@ class TextIds(dict):
 
     def __init__(self, file: str, remembered: int = REMEMBERED):
         super().__init__()
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(file)
-        self.remembered = remembered
+        self.file, self.remembered = file, remembered
         with open(file, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [x["content"] for x in spec.get("added_tokens") or ()]
         self.bytes_of = self._bytes(spec)
         self.fast = self._fast(spec)
 
+    @cached_property
+    def whole(self):
+        """The library's own tokenizer, for texts that hold special strings and
+        vocabularies of another kind."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     @staticmethod
     def _bytes(spec: dict) -> dict[int, bytes]:
         alphabet = _byte_alphabet()
@@ -253,9 +260,10 @@ def pack(
                     names, held, tokens = [], [], 0
         if held:
             yield closed()
+        ids.clear()
 
     kind = "string" if pa.types.is_string(id_field.type) else "bigint"
     columns = ", ".join(f"{f.name} bigint" for f in _PIECE) + (", ids array<bigint>" if keep_ids else "")
     if kind == "bigint":
         given = given.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    return given.mapInArrow(run, f"doc_id {kind}, {columns}")
+    return given.mapInArrow(lean(run), f"doc_id {kind}, {columns}")

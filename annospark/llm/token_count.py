@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches
+from annospark.llm.common import bounded_batches, lean
 
 #: The character that stands for a space inside pieces.
 SPACE = "▁"
@@ -157,10 +157,11 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int, text: str = "text
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(model_file).count
+        own = counter(model_file)
         for batch in batches:
-            n = pa.array([count(t.as_py()) for t in batch.column(2)], pa.int64())
+            n = pa.array([own.count(t.as_py()) for t in batch.column(2)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n], ["doc_id", "n_bytes", "n_tokens"])
+        own.clear()  # counts of words; those of parts cost more to make and stay
 
     given = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -168,6 +169,6 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int, text: str = "text
         F.col(text).alias("text"),
     )
     kind = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint").select(
+    return given.mapInArrow(lean(run), f"doc_id {kind}, n_bytes bigint, n_tokens bigint").select(
         "*", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm.cnn import ConvNet
-from annospark.llm.common import bounded_batches
+from annospark.llm.common import bounded_batches, lean
 
 #: Labelled documents that the network is fitted on, at most, and the characters
 #: of them all together; fewer documents by hash where they would have more.
@@ -69,6 +69,11 @@ def _inputs(x: np.ndarray) -> list[np.ndarray]:
 _rows = WordRows()
 
 
+def forget() -> None:
+    """Empties the worker's table of words."""
+    _rows.clear()
+
+
 def word_rows(text: str | None) -> np.ndarray:
     """The rows of a text's words (runs of letters and digits, lower-cased)."""
     words = _WORD.findall(text.lower()) if text else []
@@ -240,10 +245,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id"
                 part = batch.slice(at, 128)
                 s = shared.value.score(part.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s, pa.float64())], ["doc_id", "lang", "score"])
+        forget()
 
     given = docs.select(F.col(doc_id).alias("doc_id"), (F.col(lang) if lang else F.lit(None)).cast("string").alias("lang"), F.col(text).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
-    out = given.mapInArrow(run, f"doc_id {kind}, lang string, score double")
+    out = given.mapInArrow(lean(run), f"doc_id {kind}, lang string, score double")
     if lang is None:
         return out.drop("lang")
     cut = F.lit(0.5)

@@ -53,5 +53,16 @@ def test_stages_take_effect(spark, folder):
     assert set(packed) == set(clean)
 
 
+def test_near_copies_without_ids_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    near = text.replace("w40 ", "x ")
+    rows = [(5, text), (5, text), (7, near), (None, near), (9, "other words here and there"), (None, "no id no id at all"), (None, "no id no id at all "), (11, None), (12, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.near_copy_stage(spark, docs, "").collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert [(i, (t or "").strip()) for i, t in sorted(out, key=key)] == [(5, text), (5, text), (9, rows[4][1]), (11, ""), (12, ""), (None, ""), (None, "no id no id at all")]
+    assert corpus_pipeline.near_copy_stage(spark, docs.where("false"), "").count() == 0
+
+
 def test_run(spark, folder):
     assert corpus_pipeline.run(spark, folder[0]).select("doc_id").distinct().count() >= 120

@@ -113,10 +113,10 @@ def language_rows(n, seed):
 def test_language_on_held_out_texts(spark):
     model = language_id.LanguageModel().fit([(t, g) for g, t in language_rows(60, 1)], steps=150)
     rows = language_rows(20, 2)
-    df = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(rows)] + [(-1, None, "x"), (-2, " 12 %", "x"), (-3, "the thing " * 3000, "x")], "doc_id long, text string, lang_pred string")
+    df = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(rows)] + [(-1, None, "x"), (-2, " 12 %", "x"), (-4, "½ ² ①", "x"), (None, "", None), (-3, "the thing " * 3000, "x")], "doc_id long, text string, lang_pred string")
     got = {r.doc_id: r for r in language_id.identify(df, model).collect()}
     assert sum(got[i].lang_pred == g for i, (g, _) in enumerate(rows)) >= 0.95 * len(rows)
-    assert got[-1].lang_pred == got[-2].lang_pred == "und" and got[-3].lang_pred == "en" and all(0 <= r.score <= 1 for r in got.values())
+    assert got[-1].lang_pred == got[-2].lang_pred == got[-4].lang_pred == got[None].lang_pred == "und" and got[-3].lang_pred == "en" and all(0 <= r.score <= 1 for r in got.values())
     assert language_id.LanguageModel().fit([]).predict(["a", None]) == (["und", "und"], [0.0, 0.0])
 
 
