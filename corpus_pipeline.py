@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annospark.llm import decontaminate, line_dedup, ngram_join, packing, quality
-from annospark.llm.common import table, written
+from annospark.llm.common import dropped, table, written
 from annospark.llm.queries import tokenizer_file
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,10 +33,21 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8 or
-    more, links followed) the smallest document stays."""
-    groups = ngram_join.similar_sets(docs, shingle=5, num=80, den=100)
-    gone = groups.where("component_id is not null and doc_id > component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    more, links followed) the document of the smallest doc_id stays; one
+    without an id only where no member has one. Rows equal in id and text are
+    one document and stay or go together; among different texts of one id, or
+    of none, the smallest hash of the text decides. Documents without words are
+    in no group."""
+    docs = docs.select(*COLUMNS)
+    row = F.xxhash64("doc_id", "text")
+    groups = ngram_join.similar_sets(docs.withColumn("row", row), shingle=5, num=80, den=100, doc_id="row")
+    groups, groups_at = written(groups.where("n_shingles > 0").select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")).distinct(), "groups")
+    crowded = groups.groupBy("group").count().where("count > 1").select("group")
+    members = groups.join(crowded, "group").join(docs.select(row.alias("row"), "doc_id").distinct(), "row")
+    stays = members.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
+    gone, _ = written(members.join(stays, "group").where("row <> least.row").select("row"), "gone")
+    dropped(spark, groups_at)
+    return docs.withColumn("row", row).join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +73,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on ``documents``; a stage's table goes once the next stage's
+    is written."""
+    docs, read = table(spark, sf_dir, "documents"), []
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs, _ = written(docs, f"stage-{i}")
+            docs, at = written(docs, f"stage-{i}")
+            dropped(spark, *read)
+            read = [at]
     return docs
