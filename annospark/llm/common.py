@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Rows and bytes that one Arrow batch handed to Python may hold. Texts have no
 #: length limit, so a row count alone would not bound a worker's memory.
 BATCH_ROWS = 1024
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,23 +35,40 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def lean(run: Callable[[Iterator], Iterator], *caches: dict) -> Callable[[Iterator], Iterator]:
-    """``run``, after which a worker gives back what it holds: workers outlive
-    their tasks and share the executor's memory with what comes next."""
+_tables: dict[str, dict] = {}
+
+
+def tables(owner: str) -> dict:
+    """A worker's loaded tables of one operator; they go when a task of another
+    one begins."""
+    return _tables.setdefault(owner, {})
+
+
+def only(owner: str = "") -> None:
+    """Drops the tables of all other operators."""
+    for name, held in _tables.items():
+        if name != owner and held:
+            held.clear()
+            give_back()
+
+
+def lean(run: Callable[[Iterator], Iterator], owner: str = "") -> Callable[[Iterator], Iterator]:
+    """``run``, after which a worker gives back what it holds but for the tables
+    of ``owner``: workers outlive their tasks and share the executor's memory
+    with what comes next."""
 
     def bounded(batches: Iterator) -> Iterator:
+        only(owner)
         try:
             yield from run(batches)
         finally:
-            give_back(*caches)
+            give_back()
 
     return bounded
 
 
-def give_back(*caches: dict) -> None:
-    """Empties ``caches`` and returns free memory to the system."""
-    for cache in caches:
-        cache.clear()
+def give_back() -> None:
+    """Returns free memory to the system."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches, dropped, written
+from annospark.llm.common import bounded_batches, dropped, only, written
 
 #: Words of benchmark text in one broadcast block (some 100 bytes for each).
 BLOCK_WORDS = 2_000_000
@@ -118,13 +118,16 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) ->
     yield block
 
 
-def _scanner(shared, kind: pa.DataType):
-    """Hits of one block of items, united with those of earlier blocks."""
+def _scanner(shared, kind: pa.DataType, share: float | None = None):
+    """Hits of one block of items, united with those of earlier blocks. With a
+    ``share`` also the text without its hits, where these are not more than
+    that share of its words."""
 
     def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
+        only()
         sizes, hit, items = shared.value.scan(texts.to_pylist())
         earlier, rows, at = before.to_pylist(), [], 0
-        for n, own, was in zip(sizes.tolist(), items, earlier):
+        for n, own, was, text in zip(sizes.tolist(), items, earlier, texts):
             mine = hit[at : at + n]
             at += n + 1
             if was:
@@ -138,6 +141,9 @@ def _scanner(shared, kind: pa.DataType):
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], mine, [0]))))
                 spans = [{"first": a, "past": b} for a, b in edge.reshape(-1, 2).tolist()]
             rows.append({"n_words": n, "spans": spans, "items": sorted(own)})
+            if share is not None:
+                few = spans and sum(s["past"] - s["first"] for s in spans) <= share * n
+                rows[-1]["clean"] = cut_spans(text.as_py(), [(s["first"], s["past"]) for s in spans]) if few else None
         return pa.array(rows, kind)
 
     return scan
@@ -156,23 +162,34 @@ def find_contamination(
     null id have no windows. Repeated items count once by id; repeated rows of
     ``docs`` and null ids give a row each. Nothing is shuffled.
     """
+    return _found(docs, benchmark, width, text, item_id, item_text, block_words)
+
+
+def _found(
+    docs: DataFrame, benchmark: DataFrame, width: int, text: str, item_id: str, item_text: str, block_words: int, share: float | None = None,
+) -> DataFrame:
+    """``find_contamination``, with a ``share`` also the cut texts: found.clean."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    kind = "struct<n_words:bigint,spans:array<struct<first:int,past:int>>,items:array<string>>"
-    arrow_kind = pa.struct([
+    kind = "struct<n_words:bigint,spans:array<struct<first:int,past:int>>,items:array<string>"
+    fields = [
         ("n_words", pa.int64()),
         ("spans", pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))),
         ("items", pa.list_(pa.string())),
-    ])
+    ]
+    if share is not None:
+        kind, fields = f"{kind},clean:string", [*fields, ("clean", pa.string())]
+    kind += ">"
     out, earlier = docs.select(F.struct("*").alias("row")), []
     for i, block in enumerate(_blocks(benchmark, item_id, item_text, block_words)):
         if i:  # one block in a task at a time
             out, at = written(out, "found")
             dropped(spark, *earlier)
             earlier = [at]
-        scan = F.arrow_udf(_scanner(spark.sparkContext.broadcast(Windows(block, width)), arrow_kind), kind)
+        scan = F.arrow_udf(_scanner(spark.sparkContext.broadcast(Windows(block, width)), pa.struct(fields), share), kind)
         before = F.col("found") if i else F.lit(None).cast(kind)
-        out = out.withColumn("found", scan(F.col("row")[text], before))
+        # not deterministic: else a filter on it would make Spark call it twice
+        out = out.withColumn("found", scan.asNondeterministic()(F.col("row")[text], before))
     return out
 
 
@@ -214,20 +231,12 @@ def remove_contamination(
     stay null."""
     if mode not in ("spans", "documents"):
         raise ValueError(f"mode {mode!r} is neither spans nor documents")
-    found = find_contamination(docs, benchmark, width, text, item_id, item_text)
-    if mode == "documents":
+    by_spans = mode == "spans"
+    found = _found(docs, benchmark, width, text, item_id, item_text, BLOCK_WORDS, share if by_spans else None)
+    if not by_spans:
         return found.where(F.size("found.spans") == 0).select("row.*")
-
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        pairs = ([(s["first"], s["past"]) for s in own or ()] for own in spans.to_pylist())
-        return pa.array(map(cut_spans, texts.to_pylist(), pairs), pa.string())
-
-    n_hit = F.aggregate("found.spans", F.lit(0).cast("bigint"), lambda n, s: n + (s["past"] - s["first"]))
-    few = found.where(n_hit <= F.lit(share) * F.col("found.n_words"))
-    body = F.col("row")[text]
-    clean = F.when(F.size("found.spans") > 0, cut(body, F.col("found.spans"))).otherwise(body)
-    return few.withColumn("row", F.col("row").withField(text, clean)).select("row.*")
+    stays = found.where((F.size("found.spans") == 0) | F.col("found.clean").isNotNull())
+    return stays.select(F.col("row").withField(text, F.coalesce("found.clean", F.col("row")[text])).alias("row")).select("row.*")
 
 
 def brute_force(docs: list[tuple], items: list[tuple], width: int = 10) -> list[tuple]:

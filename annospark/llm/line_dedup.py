@@ -209,6 +209,7 @@ def drop_copied_lines(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_i
         F.struct("*").alias("doc"), F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row")
     )
     both = named.join(bitmaps.select("doc_id", "row", "bitmap"), ["doc_id", "row"], "left")
+    kept = kept.asNondeterministic()  # else the filter would make Spark call it twice
     both = both.select("doc", "bitmap", kept(F.col("doc")[text], F.col("bitmap")).alias("kept"))
     both = both.where(F.col("bitmap").isNull() | (F.btrim("kept", F.lit(BLANK)) != ""))
     return both.select(F.col("doc").withField(text, F.col("kept")).alias("doc")).select("doc.*")

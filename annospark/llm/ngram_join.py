@@ -51,6 +51,8 @@ FREQUENT, FREQUENT_KEPT, STRETCH, LEAST_COUNT = 32, 1_000_000, 1 << 21, 3
 #: Keys that a task combines at once, and signatures whose keys it remembers to
 #: have sent (a forgotten one is sent again).
 KEYS_AT_ONCE, SIGNATURES_KEPT = 1 << 20, 200_000
+#: Edges that a task reduces to a spanning forest at once.
+EDGES_AT_ONCE = 1 << 20
 #: Bits of the sieve for the rows that are in blocks, at most (8 MB).
 SIEVE_BITS = 1 << 26
 #: Rows and bytes of hashes that are multiplied with each other at most.
@@ -366,25 +368,44 @@ def _entries(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(lean(run), _TRIPLE_DDL)
 
 
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few edges as join what the edges a, b join."""
+    node, place = np.unique(np.concatenate((a, b)), return_inverse=True)
+    root = _united(np.arange(len(node)), *np.split(place, 2))
+    moved = np.flatnonzero(root != np.arange(len(node)))
+    return node[moved], node[root[moved]]
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From entries sorted by ``a``: an edge for each key after its first
-    entry, and all that are no keys."""
-    last: tuple | None = None
+    """From entries sorted by ``a``: edges that join the entries of each key,
+    and all that are no keys."""
+    last, held, size = None, [], 0
     for batch in batches:
         a, b, n = (batch.column(i).to_numpy() for i in range(3))
-        other = n != KEY
-        key, sig = a[~other], b[~other]
-        x, y = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        new, other = [], n == EDGE
+        if other.any():
+            new.append((a[other], b[other]))
+        known = (n != EDGE) & (n != KEY)
+        if known.any():
+            yield batch.filter(pa.array(known))
+        key, sig = a[n == KEY], b[n == KEY]
         if len(key):
             again = np.flatnonzero((key[1:] == key[:-1]) & (sig[1:] != sig[:-1]))
-            x, y = sig[again], sig[again + 1]
+            new.append((sig[again], sig[again + 1]))
             if last is not None and last[0] == key[0] and last[1] != sig[0]:
-                x, y = np.append(x, last[1]), np.append(y, sig[0])
+                new.append((np.array([last[1]]), sig[:1]))
             last = key[-1], sig[-1]
-        if len(x):
-            x, y = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
-        if len(x) or other.any():
-            yield _triples(np.concatenate((x, a[other])), np.concatenate((y, b[other])), np.concatenate((np.full(len(x), EDGE), n[other])))
+        held += new
+        size += sum(len(x) for x, _ in new)
+        if size >= EDGES_AT_ONCE:
+            held = [_spanning(*map(np.concatenate, zip(*held)))]
+            size = len(held[0][0])
+            if size >= EDGES_AT_ONCE // 2:
+                yield _triples(*held[0], np.full(size, EDGE))
+                held, size = [], 0
+    if held:
+        a, b = _spanning(*map(np.concatenate, zip(*held)))
+        yield _triples(a, b, np.full(len(a), EDGE))
 
 
 def _sieve(sigs: DataFrame) -> np.ndarray:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches, lean
+from annospark.llm.common import bounded_batches, lean, tables
 
 #: Parts (of fewer than 64 characters) whose ids a task remembers at most, some
 #: 100 MB; beyond it starts anew.
@@ -180,7 +180,7 @@ _PIECE = pa.schema([
     ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
 ])
-_encoders: dict[str, tuple[TextIds, np.ndarray]] = {}
+_encoders: dict[str, tuple[TextIds, np.ndarray]] = tables("packing")
 
 
 def encoder(file: str) -> tuple[TextIds, np.ndarray]:
@@ -266,4 +266,4 @@ def pack(
     columns = ", ".join(f"{f.name} bigint" for f in _PIECE) + (", ids array<bigint>" if keep_ids else "")
     if kind == "bigint":
         given = given.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    return given.mapInArrow(lean(run), f"doc_id {kind}, {columns}")
+    return given.mapInArrow(lean(run, "packing"), f"doc_id {kind}, {columns}")

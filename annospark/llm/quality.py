@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm.boosting import BoostedTrees
-from annospark.llm.common import bounded_batches
+from annospark.llm.common import bounded_batches, only
 
 #: Labelled and unlabelled documents that co-training sees, at most; its rounds
 #: and the pseudo-labels of each class and round, as a share of the labelled.
@@ -161,6 +161,7 @@ def _features(docs: DataFrame, *more: str) -> DataFrame:
 
     @F.arrow_udf("array<double>")
     def view(texts: pa.Array) -> pa.Array:
+        only()
         return pa.array([content_view(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     body = F.coalesce(F.col("text"), F.lit(""))
@@ -200,6 +201,7 @@ def score_quality(docs: DataFrame, model: CoTrained, threshold: float = 0.5) ->
 
     @F.arrow_udf(kind)
     def scores(text: pa.Array, source: pa.Array, lang: pa.Array) -> pa.Array:
+        only()
         rows = []
         for t, s, g in zip(text.to_pylist(), source.to_pylist(), lang.to_pylist()):
             t = t or ""

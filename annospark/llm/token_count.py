@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounded_batches, lean
+from annospark.llm.common import bounded_batches, lean, tables
 
 #: The character that stands for a space inside pieces.
 SPACE = "▁"
@@ -134,7 +134,7 @@ class PieceCounter(dict):
         return sum(map(self.__getitem__, words))
 
 
-_counters: dict[str, PieceCounter] = {}
+_counters: dict[str, PieceCounter] = tables("token counts")
 
 
 def counter(model_file: str) -> PieceCounter:
@@ -169,6 +169,6 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int, text: str = "text
         F.col(text).alias("text"),
     )
     kind = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(lean(run), f"doc_id {kind}, n_bytes bigint, n_tokens bigint").select(
+    return given.mapInArrow(lean(run, "token counts"), f"doc_id {kind}, n_bytes bigint, n_tokens bigint").select(
         "*", (F.col("n_tokens") > limit).alias("over_limit")
     )
