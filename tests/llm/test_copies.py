@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annospark.llm import decontaminate, fingerprint, line_dedup, ngram_join
+from annospark.llm.graph import components
 
 
 def docs_of(spark, rows):
@@ -94,6 +95,16 @@ def test_products_of_many_rows_count_light_and_heavy_columns():
     assert got.tolist() == ngram_join._united(everything, *np.array(links).T).tolist() and 1 < len(set(got.tolist())) < 150
 
 
+def test_components_of_chains_stars_and_loops(spark):
+    rnd = random.Random(8)
+    names = rnd.sample(range(-(1 << 60), 1 << 60), 400)
+    edges = [(names[i], names[i + 1]) for i in range(150)] + [(names[200], names[i]) for i in range(201, 300)] + [(names[300], names[301]), (names[301], names[300]), (names[310], names[310])]
+    got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    groups = [names[:151], names[200:300], names[300:302]]
+    assert got == {x: min(group) for group in groups for x in group}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_ngram_join_edge_rows(spark):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (None, "a b c d e"), (7, None), (None, "q r s t u v")]
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id) for r in ngram_join.similar_sets(docs_of(spark, rows)).collect())
