@@ -63,10 +63,12 @@ def has_credential(text: Column, besides: str | None = None) -> Column:
 
 
 def safety_issues(files: DataFrame, forbidden: list[str]) -> DataFrame:
-    """Issues of files (path, text): forbidden path prefixes and credentials."""
+    """Issues of files (path, text): paths that are forbidden or lie below a
+    forbidden one, and credentials."""
     bad_path = F.lit(False)
     for prefix in forbidden:
-        bad_path = bad_path | F.startswith("path", F.lit(prefix))
+        folder = prefix.rstrip("/")
+        bad_path = bad_path | (F.col("path") == folder) | F.startswith("path", F.lit(folder + "/"))
     return files.where(bad_path).select(*issue("safety", F.col("path"), "forbidden_path")).unionByName(
         files.where(has_credential(F.col("text"), YOUR_OWN)).select(*issue("safety", F.col("path"), "credential"))
     )
@@ -82,13 +84,13 @@ def _leaves(value) -> list[str]:
     if isinstance(value, str):
         return [value]
     if isinstance(value, dict):
-        value = value.values()
+        value = [x for pair in value.items() for x in pair]
     return [s for v in value for s in _leaves(v)] if not isinstance(value, (int, float, type(None))) else []
 
 
 def nested_strings(json_text: Column) -> Column:
-    """All strings in a JSON text, at any depth, without keys; null where it is
-    no JSON."""
+    """All strings in a JSON text, at any depth, the names of fields among
+    them; null where it is no JSON."""
 
     def run(values: pa.Array) -> pa.Array:
         rows = []

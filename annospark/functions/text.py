@@ -129,12 +129,12 @@ def filled_prompt(template: Column, values: dict[str, Column]) -> Column:
 
 def is_identifier(value: Column) -> Column:
     """Trimmed, not empty, without control characters."""
-    return F.coalesce((F.trim(value) == value) & (value != "") & ~value.rlike(r"\p{C}"), F.lit(False))
+    return F.coalesce(~value.rlike(rf"^{WHITE_SPACE}|{WHITE_SPACE}\z") & (value != "") & ~value.rlike(r"\p{C}"), F.lit(False))
 
 
 def id_list(value: Column, pattern: str = r"^HP:\d{7}$") -> Column:
     """ids (trimmed parts of a comma list) and whether all fit ``pattern``."""
-    ids = F.transform(F.split(value, ","), lambda v: F.trim(v))
+    ids = F.transform(F.split(value, ","), lambda v: F.regexp_replace(v, rf"^{WHITE_SPACE}+|{WHITE_SPACE}+\z", ""))
     return F.struct(ids.alias("ids"), F.forall(ids, lambda v: v.rlike(pattern)).alias("valid"))
 
 

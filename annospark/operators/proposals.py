@@ -59,7 +59,7 @@ def validate(reports: DataFrame, documents: DataFrame, terms: DataFrame, alterna
         F.when(~F.col("whole"), "invalid_schema").when(F.col("nth") > 1, "duplicate_proposal_id").when(F.col("obsolete").isNull(), "unknown_hpo_id")
         .when(F.col("obsolete"), "obsolete_hpo_id").when(~F.col("phenotypic"), "hpo_id_not_phenotypic").when(F.col("text").isNull(), "unknown_document")
     )
-    detail = F.when((reason == "unknown_hpo_id") & F.col("primary").isNotNull(), F.concat(F.lit("alternate ID of "), F.col("primary")))
+    detail = F.when((reason == "unknown_hpo_id") & F.col("primary").isNotNull(), F.concat(F.lit("now named "), F.col("primary")))
     rows = cut(rows.withColumns({"reason": reason, "why": detail}))
     good = rows.where("reason is null")
     rejected = _rejection(rows.where("reason is not null"), F.col("reason"), F.col("why"))
@@ -69,7 +69,7 @@ def validate(reports: DataFrame, documents: DataFrame, terms: DataFrame, alterna
     found = spans.where("at.reason is null").withColumns({"start": F.col("at.start"), "end": F.col("at.end")})
     rejected = rejected.unionByName(_rejection(spans.where("at.reason is not null"), F.col("at.reason"), F.col("at.detail"), "mention_index"))
     lost = good.join(found.select("document_id", "proposal_id").distinct(), ["document_id", "proposal_id"], "left_anti")
-    rejected = rejected.unionByName(_rejection(lost, "no_valid_mentions", "no mention could be located"))
+    rejected = rejected.unionByName(_rejection(lost, "no_valid_mentions", "all mentions were rejected"))
 
     # one row a mention in arrival order, folded within its group; groups are a document's
     arrival = F.struct("ord", "mention_index", "proposal_id", "start", "end", F.expr("substring(text, start + 1, end - start)").alias("phrase"))
@@ -81,7 +81,7 @@ def validate(reports: DataFrame, documents: DataFrame, terms: DataFrame, alterna
 
     groups = cut(groups.withColumn("kept", without_overlaps(F.col("all"))))
     over = groups.select("document_id", F.explode(F.array_except("all", "kept")).alias("x")).select("document_id", "x.proposal_id", "x.mention_index")
-    rejected = rejected.unionByName(_rejection(over, "overlapping_mention", "overlaps another mention of the same term and status", "mention_index"))
+    rejected = rejected.unionByName(_rejection(over, "overlapping_mention", "a longer or earlier mention of its group covers it", "mention_index"))
     proposals = groups.select(
         "document_id", F.col("members")[0]["proposal_id"].alias("proposal_id"), F.col("members.proposal_id").alias("source_proposal_ids"),
         *STATUS, F.coalesce("hpo_label", "hpo_id").alias("hpo_label"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annospark.functions.hashing import strict_date
 from annospark.functions.text import canonical, utf16_length
+from annospark.functions.text import WHITE_SPACE
 from annospark.operators.checks import issue
 from annospark.operators.relational import last_per_key
 
@@ -20,10 +21,11 @@ def decision_fits(decision: Column, proposed: Column, machine: Column, change: C
     """Unchanged needs the machine's text and no clinical change; corrected
     needs another text; rejected needs a rationale. A change that is not none
     needs a rationale as well."""
-    said = F.coalesce(F.trim(rationale) != "", F.lit(False))
+    filled = lambda c: ~c.rlike(rf"^{WHITE_SPACE}*\z")
+    said = F.coalesce(filled(rationale), F.lit(False))
     fits = (
         F.when(decision == "accept_unchanged", (proposed == machine) & (change == "none"))
-        .when(decision == "accept_corrected", (proposed != machine) & (F.trim(proposed) != ""))
+        .when(decision == "accept_corrected", (proposed != machine) & filled(proposed))
         .when(decision == "reject", said)
     )
     return F.coalesce(fits & ((change == "none") | said), F.lit(False))

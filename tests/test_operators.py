@@ -145,11 +145,21 @@ def test_proposal_values_are_the_reference_s(spark, onto):
     assert {r.document_id for r in out["proposals"].collect()} == {f"d{i}" for i in range(good)}
 
 
-@pytest.mark.parametrize("source, target, added", [
-    ("20 y 33 mm", "20 mm bzw. 33 mm", ["mm"]), ("200mg", "200 mg", []), ("5", "5 µg", ["μg"]), ("1.500 g", "1,500 g", []), ("IgM 4", "IgM 4", []), ("7", "8 mg", []), ("", "3 mg", []),
-])
-def test_added_units(source, target, added):
-    assert translation._added(source, target) == added
+def test_added_units(spark):
+    cases = [
+        ("8 to 9 cm", "8 cm to 9 cm", ["cm"]), ("200mg", "200 mg", []), ("5", "5 µg", ["μg"]), ("1.500 g", "1,500 g", []), ("IgM 4", "IgM 4", []), ("7", "8 mg", []), ("", "3 mg", []),
+        ("at 39 and 40", "39 ° C, 40 °C, 39 %", ["%", "°c"]), ("12345 cells", "12.345 ml", ["ml"]), ("12345", "12.345 ml", ["ml"]), ("123456", "123.456 ml", ["ml"]), ("2,5", "2.5 KG", ["kg"]),
+        ("x5 and v1.2", "5 mg, 1.2 g", []), ("30 years", "30 g", ["g"]), ("30mgs", "30 mg", []), ("é5", "5 ml", []), ("e\u03015", "5 ml", []), ("4 u/l 4", "4 u/l 4 iu", ["iu"]),
+    ]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
+    got = dict(rows.select("i", translation.added_units(F.col("a"), F.col("b"))).collect())
+    wanted = {i: added for i, (_, _, added) in enumerate(cases)}
+    assert got == wanted
+
+
+def test_blank_translations_do_not_pass(spark):
+    pairs = spark.createDataFrame([("a", "text", "\n\t \n", "de"), ("b", "text", "\u00a0\u2003", "de"), ("c", "text", " x ", "de")], "k string, source_text string, translated_text string, l string")
+    assert {r.k: r.checks[0].passed for r in translation.checked(pairs, lambda c: F.col("l")).collect()} == {"a": False, "b": False, "c": True}
 
 
 def test_checks_cost_and_recheck(spark):

@@ -5,11 +5,11 @@ from annospark.functions import safety
 
 def test_credentials_paths_and_fields(spark):
     key = "AKIA" + "Q7" * 8
-    rows = spark.createDataFrame([("a", f"id {key}"), ("b", 'token = "your_token_goes_here_1234"'), ("private/c", "clean"), ("d", None)], "path string, text string")
-    assert {(r.key, r.reason) for r in safety.safety_issues(rows, ["private/"]).collect()} == {("a", "credential"), ("private/c", "forbidden_path")}
+    rows = spark.createDataFrame([("a", f"id {key}"), ("b", 'token = "your_token_goes_here_1234"'), ("private/c", "clean"), ("privately", "clean"), ("d", None)], "path string, text string")
+    assert {(r.key, r.reason) for r in safety.safety_issues(rows, ["private"]).collect()} == {("a", "credential"), ("private/c", "forbidden_path")}
     one = spark.createDataFrame([('{"a": 1, "b": ["x", {"c": "y", "d": null}]}',)], "j string")
     assert one.select(safety.allowed_fields(F.col("j"), ["a"]).alias("x")).first().x == ["b"]
-    assert one.select(safety.nested_strings(F.col("j")).alias("x")).first().x == ["x", "y"]
+    assert one.select(safety.nested_strings(F.col("j")).alias("x")).first().x == ["a", "b", "x", "c", "y", "d"]
 
 
 def test_each_credential_form(spark):
