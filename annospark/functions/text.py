@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # The 29 code points that count as white space.
 WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+OTHER = "[^" + WHITE_SPACE[1:]
 
 # Typographic variants and the plain character each stands for.
 DOUBLE_QUOTES = "«»“”„‟"
@@ -50,7 +51,7 @@ def tokens(text: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    return F.size(tokens(text)).cast("bigint")
+    return F.regexp_count(text, F.lit(OTHER + "+")).cast("bigint")
 
 
 def stratum(n_tokens: Column) -> Column:
@@ -63,8 +64,9 @@ def stratum_order(name: Column) -> Column:
 
 
 def filled_lines(text: Column) -> Column:
-    """Lines that hold more than white space."""
-    return F.size(F.filter(F.split(text, "\n"), lambda v: F.regexp_replace(v, WHITE_SPACE + "+", "") != "")).cast("bigint")
+    """Lines that hold more than white space: places where one first does, each
+    up to the line's end."""
+    return F.regexp_count(text, F.lit(OTHER + r"[^\n]*")).cast("bigint")
 
 
 def plain_typography(text: Column) -> Column:

@@ -54,8 +54,8 @@ def audit_ids(values: DataFrame, terms: DataFrame, alternates: DataFrame, most:
     or has several candidates. A null id has an invalid format.
     """
     t = terms.select(F.col("id"), "obsolete", "replaced_by", "consider")
-    base = values.join(F.broadcast(alternates.select(F.col("alternate").alias("term_id"), F.col("id").alias("alt"))), "term_id", "left")
-    base = base.join(F.broadcast(t.withColumnRenamed("id", "term_id")), "term_id", "left")
+    base = values.join(alternates.select(F.col("alternate").alias("term_id"), F.col("id").alias("alt")), "term_id", "left")
+    base = base.join(t.withColumnRenamed("id", "term_id"), "term_id", "left")
     several = (F.size("consider") > 0) | (F.size("replaced_by") > 1)
     status = (
         F.when(F.col("term_id").isNull() | ~F.col("term_id").rlike(HPO_ID), "invalid_format")
@@ -82,7 +82,7 @@ def audit_ids(values: DataFrame, terms: DataFrame, alternates: DataFrame, most:
             break
     else:
         raise ValueError("a replacement chain does not end")
-    out = base.join(F.broadcast(cut(done)), base.term_id == F.col("start"), "left")
+    out = base.join(cut(done), base.term_id == F.col("start"), "left")
     none = F.array().cast("array<string>")
     follow = F.col("status") == "follow"
     final = F.when(follow, F.col("end")).otherwise(F.col("status"))

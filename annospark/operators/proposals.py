@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.functions.locate import located, without_overlaps
+from annospark.functions.safety import nested_strings
 from annospark.sources.tables import cut
 
 STATUS = ["hpo_id", "assertion", "experiencer", "temporality", "verbalized"]
@@ -52,8 +53,8 @@ def validate(reports: DataFrame, documents: DataFrame, terms: DataFrame, alterna
     rows = rows.withColumn("whole", whole)
     nth = F.row_number().over(Window.partitionBy("document_id", "whole", "proposal_id").orderBy("ord"))
     rows = rows.withColumn("nth", nth)
-    rows = rows.join(F.broadcast(terms.select(F.col("id").alias("hpo_id"), "label", "obsolete", "phenotypic")), "hpo_id", "left")
-    rows = rows.join(F.broadcast(alternates.select(F.col("alternate").alias("hpo_id"), F.col("id").alias("primary"))), "hpo_id", "left")
+    rows = rows.join(terms.select(F.col("id").alias("hpo_id"), "label", "obsolete", "phenotypic"), "hpo_id", "left")
+    rows = rows.join(alternates.select(F.col("alternate").alias("hpo_id"), F.col("id").alias("primary")), "hpo_id", "left")
     rows = rows.join(documents.select("document_id", "text"), "document_id", "left")
     reason = (
         F.when(~F.col("whole"), "invalid_schema").when(F.col("nth") > 1, "duplicate_proposal_id").when(F.col("obsolete").isNull(), "unknown_hpo_id")
@@ -98,12 +99,14 @@ def validate(reports: DataFrame, documents: DataFrame, terms: DataFrame, alterna
 def batch_issues(reports: DataFrame, expected: DataFrame, longest: int = 300) -> DataFrame:
     """Issues of one run's batches (batch_id, document_id, annotations) against
     the expected (batch_id, document_id): missing, unknown and repeated
-    documents, and strings that are too long; all together."""
+    documents, and strings that are too long (texts and field names at any
+    depth, as parsed); all together."""
     kind = lambda df, why: df.select(F.lit("batch").alias("operator"), F.concat_ws("/", "batch_id", "document_id").alias("key"), F.lit(why).alias("reason"), F.lit(None).cast("string").alias("detail"))
     keys = ["batch_id", "document_id"]
     own = reports.select(*keys)
     twice = own.groupBy(*keys).count().where("count > 1")
-    long = reports.where(F.exists("annotations", lambda a: a.rlike(r'"(?:[^"\\]|\\.){%d,}"' % (longest + 1))))
+    strings = reports.select(*keys, F.explode("annotations").alias("a")).select(*keys, nested_strings(F.col("a")).alias("strings"))
+    long = strings.where(F.exists("strings", lambda s: F.length(s) > longest)).select(*keys).distinct()
     return (
         kind(expected.select(*keys).join(own, keys, "left_anti"), "missing_document").unionByName(kind(own.join(expected.select(*keys), keys, "left_anti"), "unknown_document"))
         .unionByName(kind(twice, "repeated_document")).unionByName(kind(long, "string_too_long"))

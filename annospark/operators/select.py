@@ -7,11 +7,12 @@ from fractions import Fraction
 from hashlib import sha256
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.functions.hashing import seeded, seeded_offset
 from annospark.functions.text import stratum_order
+from annospark.sources.tables import cut
 
 
 def systematic_split(inventory: DataFrame, seed: str, langs: list[str], into: str = "de", every: int = 4, key: str = "doc_id") -> DataFrame:
@@ -19,20 +20,28 @@ def systematic_split(inventory: DataFrame, seed: str, langs: list[str], into: st
     by stratum, density and seeded hash, every fourth row from a seeded offset
     goes to ``into``, the others stay in their language.
 
-    The ranks come from counts of smaller cells (language, stratum, density)
-    and the rank within one, so no language is sorted in a single task.
+    Texts are counted once, before the rows are dealt.
     """
     rows = inventory.where(F.col("lang").isin(langs)).withColumns({"_by": seeded(seed, F.col(key)), "_s": stratum_order(F.col("stratum"))})
-    cells = rows.groupBy("lang", "_s", "density").agg(F.count("*").alias("_n"))
-    strata = cells.groupBy("lang", "_s").agg(F.sum("_n").alias("_m"))
-    before_stratum = strata.withColumn("_base", F.sum("_m").over(Window.partitionBy("lang").orderBy("_s")) - F.col("_m")).drop("_m")
-    in_stratum = Window.partitionBy("lang", "_s").orderBy("density")
-    placed = cells.withColumn("_below", F.sum("_n").over(in_stratum) - F.col("_n")).join(F.broadcast(before_stratum), ["lang", "_s"])
-    placed = placed.select("lang", "_s", "density", (F.col("_below") + F.col("_base")).alias("_start"))
-    own = F.row_number().over(Window.partitionBy("lang", "_s", "density").orderBy("_by", key)) - 1
-    rank = rows.withColumn("_own", own).alias("r").join(placed.alias("p"), (F.col("r.lang") == F.col("p.lang")) & (F.col("r._s") == F.col("p._s")) & F.col("r.density").eqNullSafe(F.col("p.density")))
-    chosen = F.pmod(F.col("p._start") + F.col("r._own"), F.lit(every)) == seeded_offset(seed, F.col("r.lang"), every)
-    return rank.select("r.*", F.when(chosen, into).otherwise(F.col("r.lang")).alias("group")).drop("_by", "_s", "_own")
+    ranked = ranks(rows, ["lang"], ["_s", "density", "_by", key])
+    chosen = F.pmod(F.col("_rank"), F.lit(every)) == seeded_offset(seed, F.col("lang"), every)
+    return ranked.withColumn("group", F.when(chosen, into).otherwise(F.col("lang"))).drop("_by", "_s", "_rank")
+
+
+def ranks(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with ``_rank`` (from 0) in each group by ``order``. Rows are
+    dealt by range and written once; a rank is the place in its partition plus
+    the group's rows in the partitions before, so a group of any size is spread
+    over tasks. Null keys form a group."""
+    dealt = cut(rows.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_n")
+    starts = sizes.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(by)), F.col("_part").alias("_p"), before.alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order)) - 1
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    return dealt.withColumn("_own", own).join(starts, same).select(*rows.columns, (F.col("_start") + F.col("_own")).alias("_rank"))
 
 
 def first_by_hash(rows: DataFrame, seed: str, by: list[str], key: str = "doc_id") -> DataFrame:
@@ -41,11 +50,11 @@ def first_by_hash(rows: DataFrame, seed: str, by: list[str], key: str = "doc_id"
     return rows.groupBy(*by).agg(F.min_by(key, F.struct(seeded(seed, F.col(key)), F.col(key))).alias(key))
 
 
-def batches(rows: DataFrame, size: int, by: list[str], order: list[Column]) -> DataFrame:
+def batches(rows: DataFrame, size: int, by: list[str], order: list[str]) -> DataFrame:
     """``rows`` with batch_no (from 1) and batch_id within each group."""
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    no = F.floor((place - 1) / size) + 1
-    return rows.withColumn("batch_no", no.cast("bigint")).withColumn("batch_id", F.format_string("batch-%02d", F.col("batch_no")))
+    no = F.floor(F.col("_rank") / size) + 1
+    placed = ranks(rows, by, order).withColumn("batch_no", no.cast("bigint")).drop("_rank")
+    return placed.withColumn("batch_id", F.format_string("batch-%02d", F.col("batch_no")))
 
 
 def global_batches(rows: DataFrame, size: int, order: list[str], parts: int) -> DataFrame:

@@ -13,6 +13,7 @@ from annospark.functions.hashing import sha256
 from annospark.functions.locate import passages, without_overlaps
 from annospark.operators import checks, mapping, ontology, relational, review, select, translation
 from annospark.operators.inventory import inventory
+from annospark.plans import records
 from annospark.sources.documents import html_text
 from annospark.sources.tables import parquet
 
@@ -48,7 +49,7 @@ def pilot_pick(spark: SparkSession, d: str) -> DataFrame:
 
 def batch_plan(spark: SparkSession, d: str) -> DataFrame:
     docs = parquet(spark, d, "documents").select("doc_id", "lang", "source")
-    return select.batches(docs, 10, ["lang", "source"], [F.col("doc_id")]).select("doc_id", "lang", "source", "batch_no", "batch_id")
+    return select.batches(docs, 10, ["lang", "source"], ["doc_id"]).select("doc_id", "lang", "source", "batch_no", "batch_id")
 
 
 def duplicate_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +224,7 @@ QUERIES = [
     doc_inventory, group_split, group_sizes, pilot_pick, batch_plan, duplicate_texts, label_join_pending, passage_spans, greedy_spans,
     concept_classes, concept_summary, case_subset, fk_missing, key_equality, last_decision, merge_conflicts, reason_counts, cost_exact,
     label_search, descendants, inverted_index, turn_batches, diversity_pick, unit_changes, translation_status, html_words,
-    rollup_lang_source, asof_events, session_events, review_states,
+    rollup_lang_source, asof_events, session_events, review_states, *records.QUERIES,
 ]
 
 
@@ -234,4 +235,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from annospark.plans.sql import SQL
 
-    return SQL
+    return SQL | records.SQL

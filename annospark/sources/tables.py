@@ -16,9 +16,12 @@ def parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a temporary folder where none is set."""
+    """``spark.checkpoint.dir``; where none is set, a temporary folder under a
+    local master and an error on a cluster, whose machines would not share it."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         there = "file://" + tempfile.mkdtemp(prefix="annospark-")
         spark.conf.set("spark.checkpoint.dir", there)
     return there.rstrip("/")
