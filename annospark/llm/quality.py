@@ -82,14 +82,25 @@ def _shares(cells: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _platt(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights and intercept of a logistic regression with a light ridge."""
+    """Weights and intercept of a logistic regression with a light ridge. Steps
+    are halved until the loss falls: whole ones can overshoot where the classes
+    part cleanly."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - target * z).sum() + 0.5e-2 * w @ w)
+
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
-        w -= np.linalg.solve(hess, x.T @ (p - target) + 1e-2 * w)
+        step = np.linalg.solve(hess, x.T @ (p - target) + 1e-2 * w)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
     return w
 
 
@@ -99,12 +110,14 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 class CoTrained:
-    """Both views' trees, and the weights that combine them."""
+    """Both views' trees, each view's calibration, and the weights that combine
+    the calibrated views."""
 
     def __init__(self) -> None:
         self.views: list[BoostedTrees] = []
         self.prior = 0.5
         self.sources = self.langs = np.full(SOURCES, 0.5)
+        self.scales = [np.array([1.0, 0.0])] * 2
         self.weights = np.zeros(3)
 
     def fit(self, labelled: list[tuple], unlabelled: list[tuple]) -> CoTrained:
@@ -140,20 +153,26 @@ class CoTrained:
                     answers[1 - v] = np.concatenate([answers[1 - v], np.full(len(pick), label)])
                     left[pick] = False
         held = [_logit(self.views[v].predict(known[v][aside])) for v in (0, 1)]
-        self.weights = _platt(np.column_stack(held), y[aside])
+        self.scales = [_platt(h[:, None], y[aside]) for h in held]
+        self.weights = _platt(np.column_stack(self._calibrated(held)), y[aside])
         return self
 
     def _both(self, rows: list[tuple]) -> list[np.ndarray]:
         meta = [metadata_view(r[2], r[3], r[4], r[5], self.sources, self.langs) for r in rows]
         return [np.array([r[1] for r in rows], float).reshape(len(rows), -1), np.array(meta, float).reshape(len(rows), -1)]
 
+    def _calibrated(self, logits: list[np.ndarray]) -> list[np.ndarray]:
+        return [h * a + b for h, (a, b) in zip(logits, self.scales)]
+
     def score(self, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Combined, content and metadata scores; the prior without a model."""
+        """Combined, content and metadata scores, all calibrated; the prior
+        without a model."""
         if not self.views or not rows:
             return (np.full(len(rows), self.prior),) * 3
-        one, two = (v.predict(x) for v, x in zip(self.views, self._both(rows)))
-        both = np.column_stack([_logit(one), _logit(two), np.ones(len(one))]) @ self.weights
-        return 1 / (1 + np.exp(-np.clip(both, -30, 30))), one, two
+        one, two = self._calibrated([_logit(v.predict(x)) for v, x in zip(self.views, self._both(rows))])
+        both = np.column_stack([one, two, np.ones(len(one))]) @ self.weights
+        both, one, two = (1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (both, one, two))
+        return both, one, two
 
 
 def _features(docs: DataFrame, *more: str) -> DataFrame:
