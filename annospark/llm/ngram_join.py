@@ -8,14 +8,17 @@ their sizes set are discarded, and the rest are links.
 
 *Blocks.* Rows of sizes n and m that link differ in at most
 ``d = (n + m) (den - num) / (den + num)`` columns. The columns are dealt by hash
-into half as many parts again, so all but d parts are the same in both rows.
-In any fixed order of the parts both rows share one of their first d + 1, and
-these are a row's keys. Parts come first that hold a rare column, and many of
+into two and a half times as many parts, so all but d parts are the same in both rows.
+In any fixed order of the parts both rows share k of their first d + k, and
+these are a row's keys. Two rows that share k keys are joined: one shared passage
+gives a few keys, so chains of passages do not run through the corpus. A key of
+many rows, which would make too many pairs, joins its rows by itself. Parts come first that hold a rare column, and many of
 them; those of frequent columns alone say little and come last, by counts over
 the whole corpus. (Cells of row sizes have their own numbers of parts, and a row
-near the end of a cell has the keys of the next one too.) Rows that share a key
-are joined to a block; every link lies in one. Keys are combined in the task
-that makes them, so a part that a third of all rows share leaves each task once.
+near the end of a cell has the keys of the next one too.) Rows that are
+joined make a block; every link lies in one. Keys of many rows are combined in
+the task that makes them, so a part that a third of all rows share leaves each
+task once.
 
 *Products.* Blocks of a bounded size are multiplied in one task. A larger one is
 cut into slices: each slice is multiplied by itself; the rows of most links in
@@ -28,7 +31,7 @@ pass. No link that could change a component is left out.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from itertools import combinations
 
@@ -51,6 +54,11 @@ FREQUENT, FREQUENT_KEPT, STRETCH, LEAST_COUNT = 32, 1_000_000, 1 << 21, 3
 #: Keys that a task combines at once, and signatures whose keys it remembers to
 #: have sent (a forgotten one is sent again).
 KEYS_AT_ONCE, SIGNATURES_KEPT = 1 << 20, 200_000
+#: Keys of up to so many rows count for each pair of them; so much is the count
+#: of a pair that has all keys it needs, and so many counts a task adds up at once.
+PAIRED, WHOLE, PAIRS_AT_ONCE = 16, 1 << 20, 1 << 20
+#: Entries of keys that are joined at once.
+KEYS_JOINED = 1 << 16
 #: Edges that a task reduces to a spanning forest at once.
 EDGES_AT_ONCE = 1 << 20
 #: Bits of the sieve for the rows that are in blocks, at most (8 MB).
@@ -64,10 +72,13 @@ CENTRES = 8
 #: are multiplied, so many at once.
 LIGHT, DENSE_COLUMNS = 16, 2048
 #: Kinds of rows in the table of keys: a key, an edge between rows of one block.
-#: All other values are a document's size, or -3 less it where the id is null.
-KEY, EDGE = -1, -2
+#: All other values are a document's size, or -3 less it where the id is null,
+#: the key of many rows of a task, or PAIR less what two rows have of WHOLE.
+KEY, EDGE, CROWD, PAIR = -1, -2, -(1 << 40), -(1 << 41)
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Where a key holds its cell.
+_CELL = np.uint64(63)
 
 
 _NEXT_BLANK = re.compile(rb"[\t-\r ]")
@@ -184,7 +195,9 @@ class Cells:
         self.tops = np.array(tops)
         #: how many columns two rows of a cell may differ in and still link
         self.differ = 2 * self.tops * (den - num) // (den + num)
-        self.parts = (self.differ + 2 + self.differ // 2).astype(np.uint64)
+        self.parts = (2 + self.differ * 5 // 2).astype(np.uint64)
+        #: how many keys two rows of a cell share at least where they link
+        self.need = 1 + self.differ // 8
 
     def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Keys, and for each the place of its row in ``sets``. Equal rows need
@@ -213,7 +226,7 @@ class Cells:
         return np.where(column[at] == row, count[at], np.int32(0))
 
     def _cell_keys(self, sets: list[np.ndarray], counts: list[np.ndarray], cell: int) -> tuple[np.ndarray, np.ndarray]:
-        count, differ = self.parts[cell], int(self.differ[cell])
+        count, most = self.parts[cell], int(self.differ[cell] + self.need[cell])
         token = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         part = (token >> np.uint64(32)) * count >> np.uint64(32)  # ascending in each row, as its hashes are
@@ -231,9 +244,9 @@ class Cells:
         order = np.lexsort((key, -np.where(rare, rare, size), least, owner))
         owner, key = owner[order], key[order]
         filled = np.bincount(owner, minlength=len(sets))
-        keep = np.arange(len(owner)) - (np.cumsum(filled) - filled)[owner] <= differ
+        keep = np.arange(len(owner)) - (np.cumsum(filled) - filled)[owner] < most
         owner, key = owner[keep], key[keep]
-        bare = np.flatnonzero(filled <= differ)  # rows whose shared part may be an empty one
+        bare = np.flatnonzero(filled < most)  # rows whose shared parts may be empty ones
         if len(bare):
             ends = np.cumsum(filled)
             empty = [np.setdiff1d(np.arange(count, dtype=np.uint64), part[ends[i] - filled[i] : ends[i]]) for i in bare]
@@ -246,7 +259,7 @@ def _part_keys(total: np.ndarray, part: np.ndarray, size: np.ndarray, cell: int)
     out = (total ^ part * np.uint64(0xD6E8FEB86659FD93)) * _MIX + size.astype(np.uint64) + np.uint64(cell << 40)
     out ^= out >> np.uint64(31)
     out *= _MIX
-    return out ^ out >> np.uint64(29)
+    return (out ^ out >> np.uint64(29)) & ~_CELL | np.uint64(cell)
 
 
 def _united(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -265,18 +278,22 @@ def _united(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _combined(key: np.ndarray, owner: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One entry for each key of a task, and edges that join the rows which
-    share keys there: a, b, n."""
+    """The keys of a task with their rows: a, b, n. A key of many rows has one
+    entry, and edges that join them."""
     order = np.argsort(key, kind="stable")
     key, owner = key[order], owner[order]
     first = np.ones(len(key), bool)
     first[1:] = key[1:] != key[:-1]
-    again = np.flatnonzero(~first)
+    start = np.flatnonzero(first)
+    size = np.diff(np.append(start, len(key)))
+    many = np.repeat(size > PAIRED, size)
+    again = np.flatnonzero(~first & many)
     root = _united(np.arange(len(sig)), owner[again - 1], owner[again])
     moved = np.flatnonzero(root != np.arange(len(sig)))
-    a = np.concatenate((key[first].view(np.int64), sig[moved]))
-    b = np.concatenate((sig[root[owner[first]]], sig[root[moved]]))
-    return a, b, np.repeat([KEY, EDGE], [len(a) - len(moved), len(moved)])
+    few, crowd = ~many, first & many
+    a = np.concatenate((key[few].view(np.int64), key[crowd].view(np.int64), sig[moved]))
+    b = np.concatenate((sig[owner[few]], sig[root[owner[crowd]]], sig[root[moved]]))
+    return a, b, np.repeat([KEY, CROWD, EDGE], [few.sum(), crowd.sum(), len(moved)])
 
 
 _TRIPLE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
@@ -376,36 +393,106 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return node[moved], node[root[moved]]
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From entries sorted by ``a``: edges that join the entries of each key,
-    and all that are no keys."""
-    last, held, size = None, [], 0
-    for batch in batches:
-        a, b, n = (batch.column(i).to_numpy() for i in range(3))
-        new, other = [], n == EDGE
-        if other.any():
-            new.append((a[other], b[other]))
-        known = (n != EDGE) & (n != KEY)
-        if known.any():
-            yield batch.filter(pa.array(known))
-        key, sig = a[n == KEY], b[n == KEY]
-        if len(key):
-            again = np.flatnonzero((key[1:] == key[:-1]) & (sig[1:] != sig[:-1]))
-            new.append((sig[again], sig[again + 1]))
-            if last is not None and last[0] == key[0] and last[1] != sig[0]:
-                new.append((np.array([last[1]]), sig[:1]))
-            last = key[-1], sig[-1]
-        held += new
-        size += sum(len(x) for x, _ in new)
-        if size >= EDGES_AT_ONCE:
-            held = [_spanning(*map(np.concatenate, zip(*held)))]
-            size = len(held[0][0])
-            if size >= EDGES_AT_ONCE // 2:
-                yield _triples(*held[0], np.full(size, EDGE))
-                held, size = [], 0
-    if held:
-        a, b = _spanning(*map(np.concatenate, zip(*held)))
-        yield _triples(a, b, np.full(len(a), EDGE))
+def _shared(key: np.ndarray, sig: np.ndarray, crowd: np.ndarray, need: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, ...]]:
+    """Edges, and pairs with what a shared key counts for them: a, b, count.
+    All entries of each key are given; ``need``: by cell."""
+    order = np.lexsort((sig, key))
+    key, sig, crowd = key[order], sig[order], crowd[order]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    crowd = np.repeat(np.logical_or.reduceat(crowd, start), np.diff(np.append(start, len(key)))) if len(key) else crowd
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
+    key, sig, crowd = key[new], sig[new], crowd[new]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else start
+    size = np.diff(np.append(start, len(key)))
+    count = -(-WHOLE // need[(key[start].view(np.uint64) & _CELL).astype(np.int64)])
+    joins = crowd[start] | (size > PAIRED)
+    inner = np.repeat(joins, size)
+    inner[start] = False
+    again = np.flatnonzero(inner)
+    a, b, counts = [], [], []
+    for n in np.unique(size[~joins & (size > 1)]).tolist():
+        here = np.flatnonzero(~joins & (size == n))
+        x, y = np.triu_indices(n, 1)
+        a.append(sig[start[here][:, None] + x].ravel())
+        b.append(sig[start[here][:, None] + y].ravel())
+        counts.append(np.repeat(count[here], len(x)))
+    pairs = tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b, counts))
+    return (sig[again - 1], sig[again]), pairs
+
+
+def _added(pairs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Each pair once, with the sum of its counts."""
+    a, b, count = map(np.concatenate, zip(*pairs))
+    order = np.lexsort((b, a))
+    a, b, count = a[order], b[order], count[order]
+    start = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
+    return a[start], b[start], np.add.reduceat(count, start) if len(a) else count
+
+
+def _joined(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From entries sorted by ``a``: edges that join the entries of crowded
+    keys, counts of the pairs of the other keys, and all that are no keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        need = Cells(num, den).need
+        waiting, n_waiting = [], 0  # entries of keys, what there is of the last key before them
+        held, size, pairs, n_pairs = [], 0, [], 0
+
+        def add(edges: tuple[np.ndarray, np.ndarray], more: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+            nonlocal held, size, pairs, n_pairs
+            if len(more[0]):
+                pairs.append(more)
+                n_pairs += len(more[0])
+            if n_pairs >= PAIRS_AT_ONCE:
+                a, b, count = _added(pairs)
+                part = count < WHOLE
+                held.append((a[~part], b[~part]))
+                size += int((~part).sum())
+                yield _triples(a[part], b[part], PAIR - count[part])
+                pairs, n_pairs = [], 0
+            if len(edges[0]):
+                held.append(edges)
+                size += len(edges[0])
+            if size >= EDGES_AT_ONCE:
+                held = [_spanning(*map(np.concatenate, zip(*held)))]
+                size = len(held[0][0])
+                if size >= EDGES_AT_ONCE // 2:
+                    yield _triples(*held[0], np.full(size, EDGE))
+                    held, size = [], 0
+
+        none = (np.zeros(0, np.int64),) * 3
+        for batch in batches:
+            a, b, n = (batch.column(i).to_numpy() for i in range(3))
+            other, keys = n == EDGE, (n == KEY) | (n == CROWD)
+            if other.any():
+                yield from add((a[other], b[other]), none)
+            if not (other | keys).all():
+                yield batch.filter(pa.array(~(other | keys)))
+            if keys.any():
+                waiting.append((a[keys], b[keys], n[keys] == CROWD))
+                n_waiting += len(waiting[-1][0])
+            if n_waiting >= KEYS_JOINED:
+                every = tuple(map(np.concatenate, zip(*waiting)))
+                last = every[0] == every[0][-1]
+                yield from add(*_shared(*(x[~last] for x in every), need))
+                key, sig, crowd = (x[last] for x in every)
+                edges, _ = _shared(key, sig, crowd, need)
+                yield from add(edges, none)
+                sig = edges[0][:1] if len(edges[0]) else np.unique(sig)  # one row stands for a crowd
+                waiting, n_waiting = [(key[: len(sig)], sig, np.full(len(sig), len(edges[0]) > 0 or crowd.any()))], 0
+        if waiting:
+            yield from add(*_shared(*map(np.concatenate, zip(*waiting)), need))
+        if n_pairs:
+            a, b, count = _added(pairs)
+            part = count < WHOLE
+            held.append((a[~part], b[~part]))
+            yield _triples(a[part], b[part], PAIR - count[part])
+        if held:
+            a, b = _spanning(*map(np.concatenate, zip(*held)))
+            yield _triples(a, b, np.full(len(a), EDGE))
+
+    return run
 
 
 def _sieve(sigs: DataFrame) -> np.ndarray:
@@ -632,11 +719,12 @@ def similar_sets(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 10
     bounded_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     dealt = _entries(docs, shingle, num, den).repartition(parts(spark), "a").sortWithinPartitions("a")
-    joined, _ = written(dealt.mapInArrow(lean(_joined), _TRIPLE_DDL), "documents")
+    joined, _ = written(dealt.mapInArrow(lean(_joined(num, den)), _TRIPLE_DDL), "documents")
     size = F.when(F.col("n") < EDGE, -3 - F.col("n")).otherwise(F.col("n"))
-    known = joined.where(F.col("n") != EDGE).select(F.when(F.col("n") >= 0, F.col("a")).alias("doc_id"), F.col("b").alias("sig"), size.alias("n"))
+    known = joined.where((F.col("n") != EDGE) & (F.col("n") > CROWD)).select(F.when(F.col("n") >= 0, F.col("a")).alias("doc_id"), F.col("b").alias("sig"), size.alias("n"))
 
-    blocks = components(_edges(joined), "blocks")
+    paired = joined.where(F.col("n") < PAIR).groupBy("a", "b").agg(F.sum(PAIR - F.col("n")).alias("count")).where(F.col("count") >= WHOLE)
+    blocks = components(_edges(joined).unionByName(paired.select("a", "b")), "blocks")
     sizes = known.groupBy("sig").agg(F.max("n").alias("n"))
     in_block = sizes.join(blocks.withColumnRenamed("node", "sig"), "sig")
     in_block, in_block_at = written(in_block, "block-rows")

@@ -52,6 +52,46 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, block_rows, keys):
     assert got == ngram_join.brute_force(rows)
 
 
+def test_passages_of_two_documents_do_not_chain_the_corpus_to_one_block(spark, monkeypatch):
+    rnd = random.Random(3)
+    some = lambda k: [f"w{rnd.randrange(10**9)}" for _ in range(k)]
+    passages = [some(150) for _ in range(201)]
+    rows = [(i, " ".join(passages[i] + some(150) + passages[i + 1])) for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " " + " ".join(some(20))) for i in range(0, 200, 20)]
+    blocks = []
+
+    def seen(edges, name="components"):
+        out = components(edges, name)
+        if name == "blocks":
+            blocks.extend(r["count"] for r in out.groupBy("comp").count().collect())
+        return out
+
+    monkeypatch.setattr(ngram_join, "components", seen)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_sets(docs_of(spark, rows), shingle=5, num=80).collect()}
+    assert got == ngram_join.brute_force(rows, shingle=5, num=80)
+    assert max(blocks) <= 4 and len(blocks) >= 10
+
+
+@pytest.mark.parametrize("crowd", [2, 3, 16])
+def test_crowded_keys_and_batches_that_cut_them(spark, monkeypatch, crowd):
+    monkeypatch.setattr(ngram_join, "PAIRED", crowd)
+    monkeypatch.setattr(ngram_join, "KEYS_JOINED", 5)
+    monkeypatch.setattr(ngram_join, "PAIRS_AT_ONCE", 3)
+    rows = near_copies(8)
+    batches = [[("k", 9), ("k", 9), ("k", 3)], [("k", 3), ("k", 7), ("k", 2), ("k", 8), ("l", 5)], [("l", 6), ("m", 1)]]
+    cell = 20
+    key = {c: (i + 1 << 6) + cell for i, c in enumerate("klm")}
+    need = int(ngram_join.Cells(80, 100).need[cell])
+    out = [r for b in ngram_join._joined(80, 100)(ngram_join._triples([key[k] for k, _ in x], [v for _, v in x], [ngram_join.KEY] * len(x)) for x in batches) for r in zip(*(c.to_pylist() for c in b.columns))]
+    joined = {frozenset(r[:2]) for r in out if r[2] == ngram_join.EDGE}
+    counts = [(frozenset(r[:2]), ngram_join.PAIR - r[2]) for r in out if r[2] < ngram_join.PAIR]
+    few = {frozenset(x) for x in itertools.combinations([2, 3, 7, 8, 9], 2)} if crowd == 16 else set()
+    assert {x for x, _ in counts} == few | {frozenset((5, 6))} and {c for _, c in counts} == {-(-ngram_join.WHOLE // need)}
+    assert set().union(*joined) == ({2, 3, 7, 8, 9} if crowd < 16 else set()) and len(joined) == (4 if crowd < 16 else 0)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_sets(docs_of(spark, rows)).collect()}
+    assert got == ngram_join.brute_force(rows)
+
+
 @pytest.mark.parametrize("num, den", [(85, 100), (80, 100), (1, 2)])
 def test_rows_that_link_share_a_key_and_products_find_all(num, den):
     rnd = np.random.default_rng(num)
